@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import left_join
+from tessera.operators.partitioning import ensure_parallelism
 from tessera.sources.schemas import LEXICON_COLUMNS
 
 # ---------------------------------------------------------------- fixed values
@@ -53,8 +54,13 @@ REVIEW_PRODUCT_BASE = PRODUCT_ID_BASE + 60
 CREATED_AT_FORMAT = "EEE MMM dd HH:mm:ss '+0000' yyyy"
 
 
+# Fact tables whose rows feed per-row CPU work; dimensions are left as read.
+FACT_TABLES = frozenset({"documents", "lineitem", "events", "orders", "pages", "conversations"})
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in FACT_TABLES else df
 
 
 def zone_map(spark: SparkSession) -> DataFrame:

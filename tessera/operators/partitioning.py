@@ -1,0 +1,23 @@
+"""Partition-count guard for CPU-heavy stages.
+
+A large input arrives as thousands of file splits and needs nothing.  A
+small input packed into one file with one row group arrives as ONE split,
+and every per-row stage after it (tokenising, n-grams, JSON parsing) would
+run on a single core.  ``ensure_parallelism`` spreads such an input over
+the session's cores with a round-robin repartition.  It only fires when the
+scan has fewer splits than cores, i.e. when the input is at most
+``cores x spark.sql.files.maxPartitionBytes``, so the extra shuffle is
+bounded and never happens at scale.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    want = target or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
