@@ -1,0 +1,3 @@
+from tessera.streaming.messages import start_message_sentiment
+
+__all__ = ["start_message_sentiment"]

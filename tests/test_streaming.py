@@ -1,0 +1,26 @@
+import json
+import os
+
+from tessera.adapters import lexicon, zone_map
+from tessera.plans.messages import message_sentiment_report
+from tessera.session import local_path, shared_path
+from tessera.streaming import start_message_sentiment
+
+
+def test_stream_matches_batch(spark):
+    src = local_path(shared_path(spark, "stream-src"))
+    os.makedirs(src)
+    msgs = [{"id_str": str(i), "created_at": "Tue Aug 25 09:08:07 +0000 2015",
+             "text": t, "user": {"time_zone": f"src{i % 20}"}}
+            for i, t in enumerate(["the and and", "of the", "", "good la", "x y z"] * 4)]
+    for f in range(2):
+        with open(f"{src}/m{f}.json", "w") as fh:
+            fh.write("\n".join(json.dumps(m) for m in msgs[f::2]) + "\n")
+    sink = shared_path(spark, "stream-sink")
+    q = start_message_sentiment(spark, src, sink, zone_map(spark), lexicon(spark), once=True)
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.read.parquet(sink).drop("batch_id").collect())
+    want = sorted(tuple(r) for r in message_sentiment_report(
+        spark.read.text(src), zone_map(spark), lexicon(spark)).collect())
+    assert got == want
+    assert len(got) == 21  # id 3 sits in the zone mapped to two countries
