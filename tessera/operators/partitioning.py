@@ -8,11 +8,22 @@ the session's cores with a round-robin repartition.  It only fires when the
 scan has fewer splits than cores, i.e. when the input is at most
 ``cores x spark.sql.files.maxPartitionBytes``, so the extra shuffle is
 bounded and never happens at scale.
+
+The spread is keyed by a seeded ``rand``.  Rows land evenly, and because the
+optimizer treats the key as non-deterministic it does not push filters
+below the spread: with a plain round-robin repartition Catalyst moved
+filters on derived columns (e.g. "token array not empty", "parsed id not
+null") into the single scan task, so the expensive per-row expression ran
+there, on one core.  A re-run task draws the same keys (the generator is
+seeded per partition and the scan order is fixed), so retries are safe.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SPREAD_SEED = 17
 
 
 def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
@@ -20,4 +31,16 @@ def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
     want = target or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, F.rand(SPREAD_SEED))
+
+
+def explode_rows(df: DataFrame, array: Column, alias: str, keep=(), pos_alias: str | None = None) -> DataFrame:
+    """``explode`` (one row per element; null or empty arrays give none)
+    written so the optimizer adds no inferred ``size(array) > 0`` filter in
+    front of the generator.  That filter re-evaluates the whole array
+    expression (tokenising, n-gram building) a second time and can be
+    pushed far below the generator.  With the outer generator the array is
+    computed once; the null position marks the rows of null/empty arrays."""
+    pos = pos_alias or "_pos"
+    out = df.select(*keep, F.posexplode_outer(array).alias(pos, alias)).filter(F.col(pos).isNotNull())
+    return out if pos_alias else out.drop(pos)

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from tessera.functions.sentiment import polarity_score, sentiment_code, sentiment_label
 from tessera.functions.text import split_words
 from tessera.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from tessera.operators.partitioning import explode_rows
 
 
 def explode_words(df: DataFrame, id_col: str = "id", text_col: str = "text", *,
                   lowercase: bool = False, out_col: str = "word") -> DataFrame:
     """(id, word) rows; a null text yields no row."""
-    return df.select(F.col(id_col), F.explode(split_words(text_col, lowercase=lowercase)).alias(out_col))
+    return explode_rows(df, split_words(text_col, lowercase=lowercase), out_col, keep=[F.col(id_col)])
 
 
 def word_polarity(words: DataFrame, lexicon: DataFrame, *, id_col: str = "id", word_col: str = "word",

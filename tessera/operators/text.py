@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import ngrams, ngrams_starting_with, tokenize
+from tessera.operators.partitioning import explode_rows
 from tessera.operators.relational import top_k, top_k_per_group
 
 # Fixed value: the word that stands for "any word" in a context prefix.
@@ -29,7 +30,7 @@ def tokenize_frame(df: DataFrame, text_col: str = "message", out_col: str = "wor
 def explode_ngrams(df: DataFrame, n: int, words_col: str = "words", out_col: str = "ngram",
                    keep: Sequence[str] = ()) -> DataFrame:
     """One row per n-gram occurrence (rows with fewer than n words emit none)."""
-    return df.select(*keep, F.explode(ngrams(words_col, n)).alias(out_col))
+    return explode_rows(df, ngrams(words_col, n), out_col, keep=keep)
 
 
 def ngram_counts(df: DataFrame, n: int, words_col: str = "words", out_col: str = "ngram",
@@ -93,6 +94,6 @@ def context_ngram(df: DataFrame, context_prefix: str | Sequence[str | None], inp
         grams = ngrams_starting_with(words, n, first)
     else:
         grams = ngrams(words, n)
-    matched = df.select(F.explode(grams).alias(out_col)).filter(F.col(out_col).rlike(regex))
+    matched = explode_rows(df, grams, out_col).filter(F.col(out_col).rlike(regex))
     counts = matched.groupBy(out_col).agg(F.count(F.lit(1)).alias(count_col))
     return counts.orderBy(F.col(count_col).desc(), F.col(out_col))

@@ -17,6 +17,7 @@ from tessera.functions.predicates import half_open, valid_value
 from tessera.functions.temporal import date_parts
 from tessera.functions.text import clean_text, ngrams, split_words, tokenize
 from tessera.functions.weblog import page_key
+from tessera.operators.partitioning import explode_rows
 from tessera.operators.relational import top_k, union_all
 from tessera.operators.sentiment import message_sentiment, word_polarity
 from tessera.operators.text import context_ngram, ngram_regex_filter
@@ -157,17 +158,16 @@ def q_lower_text(spark, d):
 
 
 def q_tokenize(spark, d):
-    words = _ratings(spark, d).select("cust_id", tokenize("message").alias("words"))
-    return words.select("cust_id", F.posexplode("words").alias("pos", "token"))
+    return explode_rows(_ratings(spark, d), tokenize("message"), "token", keep=["cust_id"], pos_alias="pos")
 
 
 def q_onegrams(spark, d):
-    return ratings.review_words(_ratings(spark, d)).select(F.explode("words").alias("onegram"))
+    return explode_rows(ratings.review_words(_ratings(spark, d)), F.col("words"), "onegram")
 
 
 def q_ngrams(spark, d):
     words = ratings.review_words(_ratings(spark, d))
-    return words.select("cust_id", F.posexplode(ngrams("words", 2)).alias("pos", "bigram"))
+    return explode_rows(words, ngrams("words", 2), "bigram", keep=["cust_id"], pos_alias="pos")
 
 
 def q_ngram_prefix_filter(spark, d):
@@ -229,7 +229,7 @@ def q_tz_left_join(spark, d):
 
 
 def q_split_words(spark, d):
-    return _parsed(spark, d).select("id", F.posexplode(split_words("text")).alias("pos", "word"))
+    return explode_rows(_parsed(spark, d), split_words("text"), "word", keep=["id"], pos_alias="pos")
 
 
 def q_explode_words(spark, d):
