@@ -78,22 +78,46 @@ def context_pattern(prefix: str | Sequence[str | None]) -> tuple[int, str, str |
 
 
 def context_ngram(df: DataFrame, context_prefix: str | Sequence[str | None], input_col: str = "words",
-                  out_col: str = "ngram", count_col: str = "estfrequency") -> DataFrame:
+                  out_col: str = "ngram", count_col: str = "estfrequency", exact: bool = False) -> DataFrame:
     """Frequencies of the n-grams that fit a context such as
     ``'quality null null'``, most frequent first.
 
-    When the prefix starts with a literal word, only positions whose token
-    equals it are turned into n-gram strings (an n-gram string can only
-    begin with ``word + ' '`` when its first token is that word, because
-    tokens hold no whitespace); the regex then applies the full context.
-    The filter runs before the shuffle, so only matching n-grams are counted.
+    Default (regex) semantics: the context regex is anchored at the start
+    only, so the last literal word matches as a prefix.  When the prefix
+    starts with a literal word, only positions whose token equals it are
+    turned into n-gram strings (an n-gram string can only begin with
+    ``word + ' '`` when its first token is that word, because tokens hold no
+    whitespace); the regex then applies the full context.
+
+    ``exact=True`` compares whole tokens position by position (wildcards
+    match any one token) and uses no regex.
+
+    Either way the filter runs before the shuffle, so only matching n-grams
+    are counted.
     """
     n, regex, first = context_pattern(context_prefix)
     words = F.col(input_col)
-    if first is not None and n > 1:
-        grams = ngrams_starting_with(words, n, first)
+    if exact:
+        grams = _exact_context_grams(words, context_prefix, n)
+        matched = explode_rows(df, grams, out_col)
     else:
-        grams = ngrams(words, n)
-    matched = explode_rows(df, grams, out_col).filter(F.col(out_col).rlike(regex))
+        grams = ngrams_starting_with(words, n, first) if first is not None and n > 1 else ngrams(words, n)
+        matched = explode_rows(df, grams, out_col).filter(F.col(out_col).rlike(regex))
     counts = matched.groupBy(out_col).agg(F.count(F.lit(1)).alias(count_col))
     return counts.orderBy(F.col(count_col).desc(), F.col(out_col))
+
+
+def _exact_context_grams(words, prefix, n: int):
+    tokens = prefix.split() if isinstance(prefix, str) else [WILDCARD if w is None else w for w in prefix]
+    literal = [(j, w) for j, w in enumerate(tokens) if w != WILDCARD]
+
+    def fits(i):
+        cond = F.lit(True)
+        for j, w in literal:
+            cond = cond & (F.element_at(words, i + j) == F.lit(w))
+        return cond
+
+    starts = F.filter(F.sequence(F.lit(1), F.size(words) - (n - 1)), fits)
+    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.element_at(words, i + k) for k in range(n)]))
+    return F.when(words.isNull(), F.lit(None)).when(F.size(words) >= n, grams).otherwise(
+        F.array().cast("array<string>"))

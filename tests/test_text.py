@@ -72,6 +72,10 @@ def test_context_ngram_prefix_semantics(spark):
     assert got == {"red ones": 1, "red one": 2}
     got2 = {r.ngram for r in context_ngram(w, "null good").collect()}
     assert got2 == {"a goodness"}
+    exact = {r.ngram: r.estfrequency for r in context_ngram(w, "red one", exact=True).collect()}
+    assert exact == {"red one": 2}
+    assert {r.ngram for r in context_ngram(w, ["null", "good"], exact=True).collect()} == set()
+    assert {r.ngram for r in context_ngram(w, [None, "ones"], exact=True).collect()} == {"red ones"}
 
 
 def test_ngram_frequency_ties_are_deterministic(spark):
