@@ -58,12 +58,14 @@ def message_words(parsed: DataFrame, lowercase: bool = False) -> DataFrame:
 
 
 def scored_messages(raw: DataFrame, zone_map: DataFrame, lexicon: DataFrame, *,
-                    zone_rows: int | None = None, lexicon_rows: int | None = None) -> DataFrame:
+                    zone_rows: int | None = None, lexicon_rows: int | None = None,
+                    lowercase: bool = False) -> DataFrame:
     """Every message with country and sentiment code (null code when the
-    message has no words)."""
+    message has no words).  Words match the lexicon case-sensitively unless
+    ``lowercase`` folds the message words first."""
     parsed = parse_messages(raw)
     located = with_country(simple_messages(parsed), zone_map, zone_rows=zone_rows)
-    sentiments = message_sentiment(message_words(parsed), lexicon, lexicon_rows=lexicon_rows)
+    sentiments = message_sentiment(message_words(parsed, lowercase=lowercase), lexicon, lexicon_rows=lexicon_rows)
     return attach_sentiment_code(located, sentiments)
 
 

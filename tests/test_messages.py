@@ -54,3 +54,10 @@ def test_end_to_end_semantics(spark):
 def test_words_keep_case(spark):
     w = message_words(parse_messages(raw(spark, [line("1", " The  cat")]))).collect()
     assert [r.word for r in w] == ["", "The", "cat"]
+
+
+def test_lowercase_option(spark):
+    r = raw(spark, [line("1", "The THE")])
+    cased = scored_messages(r, zone_map(spark), lexicon(spark)).first().sentiment
+    folded = scored_messages(r, zone_map(spark), lexicon(spark), lowercase=True).first().sentiment
+    assert cased == 2 and folded == 0
