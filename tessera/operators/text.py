@@ -53,9 +53,20 @@ def ngram_frequency(df: DataFrame, n: int, k: int | None = 5, words_col: str = "
     return top_k(counts, k, order, ties)
 
 
+_ANCHORED_WORD = re.compile(r"\^([A-Za-z0-9]+) ")
+
+
 def ngram_regex_filter(df: DataFrame, n: int, pattern: str, words_col: str = "words",
                        out_col: str = "ngram") -> DataFrame:
-    """n-gram occurrences matching a Java regex (unanchored find, as ``rlike``)."""
+    """n-gram occurrences matching a Java regex (unanchored find, as ``rlike``).
+
+    A pattern that starts with ``^word `` (an alphanumeric literal and a
+    space) can only match n-grams whose first token is ``word`` — tokens hold
+    no whitespace — so the strings are built only at those positions."""
+    m = _ANCHORED_WORD.match(pattern)
+    if m and n > 1:
+        grams = ngrams_starting_with(words_col, n, m.group(1))
+        return explode_rows(df, grams, out_col).filter(F.col(out_col).rlike(pattern))
     return explode_ngrams(df, n, words_col, out_col).filter(F.col(out_col).rlike(pattern))
 
 

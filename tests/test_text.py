@@ -94,3 +94,12 @@ def test_clean_text_and_split(spark):
     assert got == [" ab cd ", " x", "", None]
     sp = [r.s for r in df.select(split_words("m").alias("s")).collect()]
     assert sp[0] == ["", "ab,", "cd!"] and sp[2] == [""] and sp[3] is None
+
+
+def test_regex_filter_with_anchored_word(spark):
+    from tessera.operators.text import ngram_regex_filter
+    df = spark.createDataFrame([("red one two three red ones x y",), ("a red one b c",)], "m string")
+    w = df.select(tokenize("m").alias("words"))
+    got = sorted(r.g for r in ngram_regex_filter(w, 4, r"^red one", out_col="g").collect())
+    brute = sorted(r.g for r in ngram_regex_filter(w, 4, r"(?:^red one)", out_col="g").collect())
+    assert got == brute == ["red one b c", "red one two three", "red ones x y"]
