@@ -76,3 +76,13 @@ def test_skip_lines_many_files_and_splits(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     want = sorted(v for f in files for v in f[2:])
     assert got == want
+
+
+def test_split_delimited_matches_reader_rules(spark):
+    from tessera.sources import split_delimited
+    line = "2024-01-05 10:00:00 W3SVC1 GET /a - 80 - 1.2.3.4 UA - http://r/ host 404 0 0 10 20 -"
+    short = "2024-01-06 11:00:00 W3SVC1"
+    df = spark.createDataFrame([(line,), (short,)], "value string")
+    got = split_delimited(df, WEBLOG_SCHEMA).collect()
+    assert got[0].sc_status == 404 and got[0].cs_uriquery == "-" and got[0].time_taken is None
+    assert got[1].date == "2024-01-06" and got[1].cs_method is None and got[1].sc_status is None
