@@ -103,3 +103,12 @@ def test_regex_filter_with_anchored_word(spark):
     got = sorted(r.g for r in ngram_regex_filter(w, 4, r"^red one", out_col="g").collect())
     brute = sorted(r.g for r in ngram_regex_filter(w, 4, r"(?:^red one)", out_col="g").collect())
     assert got == brute == ["red one b c", "red one two three", "red ones x y"]
+
+
+def test_context_ngram_partition_independent(spark):
+    texts = [f"the {w} of the {v} and the {w}" for w in ("cat", "dog", "cow") for v in ("a", "b")] * 5
+    df = spark.createDataFrame([(t,) for t in texts], "m string").select(tokenize("m").alias("words"))
+    want = [tuple(r) for r in context_ngram(df.repartition(1), "the null").collect()]
+    assert want[0] == ("the cat", 20) and len(want) == 5
+    for parts in (3, 11):
+        assert [tuple(r) for r in context_ngram(df.repartition(parts), "the null").collect()] == want
