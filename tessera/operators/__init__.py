@@ -1,4 +1,5 @@
 from tessera.operators.joins import bounded_broadcast, left_join, semi_join
+from tessera.operators.partitioning import ensure_parallelism, explode_rows
 from tessera.operators.relational import order_desc, row_count, top_k, top_k_per_group, union_all
 from tessera.operators.sentiment import (attach_sentiment_code, explode_words, message_sentiment,
                                          net_lexicon, word_polarity)
@@ -6,7 +7,7 @@ from tessera.operators.text import (context_ngram, context_pattern, explode_ngra
                                     ngram_frequency, ngram_regex_filter, tokenize_frame)
 
 __all__ = [
-    "bounded_broadcast", "left_join", "semi_join", "order_desc", "row_count", "top_k", "top_k_per_group",
+    "bounded_broadcast", "left_join", "semi_join", "ensure_parallelism", "explode_rows", "order_desc", "row_count", "top_k", "top_k_per_group",
     "union_all", "attach_sentiment_code", "explode_words", "message_sentiment", "net_lexicon",
     "word_polarity", "context_ngram", "context_pattern", "explode_ngrams", "ngram_counts",
     "ngram_frequency", "ngram_regex_filter", "tokenize_frame",
