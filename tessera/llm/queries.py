@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, exact_topk, mixing, packing, quality, simhash
+from tessera.llm import ann, exact_topk, langid, mixing, packing, quality, simhash
 from tessera.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(read_table(spark, sf_dir, "embeddings"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_documents(read_table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_topk, op4_simhash, op5_ann_forest, op8_compression_quality, op9_mix_sources, op10_pack)}
+    f.__name__: f for f in (op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op8_compression_quality, op9_mix_sources, op10_pack)}
 
 #: Vectors are cut into integer components and every query meets every other row.
 _OP2 = """
