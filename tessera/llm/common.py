@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,3 +98,11 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for j in range(n):
         out = out * np.uint64(0xD6E8FEB86659FD93) + words[j:len(words) - n + 1 + j]
     return mix64(out)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so when
+    their plans are collected as garbage, which a driver with little to do puts
+    off while the disks of the executors fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

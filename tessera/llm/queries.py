@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, exact_topk, langid, mixing, packing, quality, simhash
+from tessera.llm import ann, exact_topk, langid, mixing, packing, quality, simhash, suffix_dedup
 from tessera.llm.common import read_table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(read_table(spark, sf_dir, "embeddings"))
 
@@ -39,7 +43,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op8_compression_quality, op9_mix_sources, op10_pack)}
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op8_compression_quality, op9_mix_sources, op10_pack)}
 
 #: Vectors are cut into integer components and every query meets every other row.
 _OP2 = """
