@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, exact_topk, langid, mixing, packing, passages, quality, simhash, suffix_dedup
+from tessera.llm import ann, exact_topk, langid, licenses, mixing, packing, passages, quality, simhash, suffix_dedup
 from tessera.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op5_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read_table(spark, sf_dir, "embeddings"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,8 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op7_compact_windows, op8_compression_quality, op9_mix_sources, op10_pack)}
+    f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op6_license_scan, op7_compact_windows,
+                              op8_compression_quality, op9_mix_sources, op10_pack)}
 
 #: Vectors are cut into integer components and every query meets every other row.
 _OP2 = """
