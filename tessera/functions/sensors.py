@@ -19,4 +19,5 @@ def temperature_band(diff: Column, tolerance: float = 5) -> Column:
 
 
 def extreme_flag(diff: Column, tolerance: float = 5) -> Column:
-    return F.when(diff > tolerance, 1).when(diff < -tolerance, 1).otherwise(0)
+    """1 if the reading is off its target by more than ``tolerance`` (a null reading is not)."""
+    return F.coalesce(F.abs(diff) > tolerance, F.lit(False)).cast("int")

@@ -29,3 +29,8 @@ def sentiment_code(label: Column | str) -> Column:
     for name, code in SENTIMENT_CODES:
         expr = F.when(lab == name, code) if expr is None else expr.when(lab == name, code)
     return expr
+
+
+def score_code(score: Column) -> Column:
+    """The code of a summed score's label."""
+    return sentiment_code(sentiment_label(score))

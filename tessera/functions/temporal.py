@@ -53,6 +53,11 @@ def sortable_timestamp(year: Column, month: Column, day: Column, time: Column) -
     return F.concat(year, sp, month, sp, day, sp, time)
 
 
+def timestamp_of(sortable: Column | str) -> Column:
+    """The sortable text as a timestamp without time zone; null if it is none."""
+    return F.try_to_timestamp(_c(sortable), F.lit("yyyy MM dd HH:mm:ss")).cast("timestamp_ntz")
+
+
 def date_parts(date_text: Column | str) -> dict[str, Column]:
     """year / month / day of a date given as text; unparsable -> null."""
     d = _c(date_text).try_cast("date")

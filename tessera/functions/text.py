@@ -27,7 +27,8 @@ def tokenize(text: Column | str) -> Column:
     null    -> null
     """
     lowered = F.lower(_c(text))
-    trimmed = F.regexp_replace(lowered, r"\s+$", "")
+    # \z, as $ also matches before a final line end; a run is only tried from its first blank
+    trimmed = F.regexp_replace(lowered, r"(?<!\s)\s++\z", "")
     return (F.when(lowered == "", F.array(F.lit("")))
              .when(trimmed == "", _empty_strings())
              .otherwise(F.split(trimmed, r"\s")))
@@ -40,7 +41,7 @@ def split_words(text: Column | str, *, lowercase: bool = False) -> Column:
     return F.split(F.lower(t) if lowercase else t, r"\s+")
 
 
-def _gram_at(w: Column, i: Column, n: int) -> Column:
+def gram_at(w: Column, i: Column, n: int) -> Column:
     """The n-gram starting at 1-based position ``i`` (caller keeps it in range)."""
     return F.concat_ws(" ", *[F.element_at(w, i + k) for k in range(n)])
 
@@ -54,7 +55,7 @@ def ngrams(words: Column | str, n: int) -> Column:
     w = _c(words)
     if n == 1:
         return w
-    grams = F.transform(F.slice(w, 1, F.size(w) - (n - 1)), lambda _x, i: _gram_at(w, i + 1, n))
+    grams = F.transform(F.slice(w, 1, F.size(w) - (n - 1)), lambda _x, i: gram_at(w, i + 1, n))
     return F.when(w.isNull(), F.lit(None)).when(F.size(w) >= n, grams).otherwise(_empty_strings())
 
 
@@ -64,14 +65,14 @@ def ngrams_starting_with(words: Column | str, n: int, first: str) -> Column:
     w = _c(words)
     starts = F.filter(F.sequence(F.lit(1), F.size(w) - (n - 1)),
                       lambda i: F.element_at(w, i) == F.lit(first))
-    grams = F.transform(starts, lambda i: _gram_at(w, i, n))
+    grams = F.transform(starts, lambda i: gram_at(w, i, n))
     return F.when(w.isNull(), F.lit(None)).when(F.size(w) >= n, grams).otherwise(_empty_strings())
 
 
 # ``\P{Alnum}`` is java.util.regex's POSIX class, ASCII-only unless
 # UNICODE_CHARACTER_CLASS is set, i.e. exactly the complement of
-# [a-zA-Z0-9].  The same set spelled as a negated range class ([^a-zA-Z0-9])
-# ran ~13x slower on accented text in our measurements.
+# [a-zA-Z0-9].  Over all texts of the sf0.1 documents it took 0.87 s, the
+# negated range class [^a-zA-Z0-9] 2.19 s (one timed run each).
 NON_ALNUM_RUN = r"\P{Alnum}+"
 
 

@@ -10,23 +10,21 @@ never concentrates raw rows on one task.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import ngrams, ngrams_starting_with, tokenize
-from tessera.operators.partitioning import explode_rows
+from tessera.functions.text import gram_at, ngrams, ngrams_starting_with
+from tessera.operators.generators import explode_rows
 from tessera.operators.relational import top_k, top_k_per_group
 
 # Fixed value: the word that stands for "any word" in a context prefix.
 WILDCARD = "null"
 
 
-def tokenize_frame(df: DataFrame, text_col: str = "message", out_col: str = "words") -> DataFrame:
-    return df.withColumn(out_col, tokenize(text_col))
-
-
 def explode_ngrams(df: DataFrame, n: int, words_col: str = "words", out_col: str = "ngram",
                    keep: Sequence[str] = ()) -> DataFrame:
     """One row per n-gram occurrence (rows with fewer than n words emit none)."""
@@ -53,82 +51,78 @@ def ngram_frequency(df: DataFrame, n: int, k: int | None = 5, words_col: str = "
     return top_k(counts, k, order, ties)
 
 
-_ANCHORED_WORD = re.compile(r"\^([A-Za-z0-9]+) ")
+# A pattern that is nothing but an anchor and plain words: its first word is
+# followed by a space, so it is the n-gram's whole first token.
+_PLAIN_WORDS = re.compile(r"\^([A-Za-z0-9]+)(?: [A-Za-z0-9]+)+ ?")
 
 
 def ngram_regex_filter(df: DataFrame, n: int, pattern: str, words_col: str = "words",
                        out_col: str = "ngram") -> DataFrame:
     """n-gram occurrences matching a Java regex (unanchored find, as ``rlike``).
 
-    A pattern that starts with ``^word `` (an alphanumeric literal and a
-    space) can only match n-grams whose first token is ``word`` — tokens hold
-    no whitespace — so the strings are built only at those positions."""
-    m = _ANCHORED_WORD.match(pattern)
-    if m and n > 1:
-        grams = ngrams_starting_with(words_col, n, m.group(1))
-        return explode_rows(df, grams, out_col).filter(F.col(out_col).rlike(pattern))
-    return explode_ngrams(df, n, words_col, out_col).filter(F.col(out_col).rlike(pattern))
-
-
-def context_pattern(prefix: str | Sequence[str | None]) -> tuple[int, str, str | None]:
-    """(n, regex, first literal word or None) for a context prefix.
-
-    Words are literal (regex-escaped); the word ``null`` — or ``None`` in the
-    list form — matches any text.  Like the original, the regex is anchored
-    at the start only, so the last literal word also matches as a prefix
-    ('red one' finds 'red ones').  A blank prefix is an error.
-    """
-    if prefix is None:
-        raise ValueError("context prefix must contain at least one word")
-    words = prefix.split() if isinstance(prefix, str) else [WILDCARD if w is None else w for w in prefix]
-    if not words or (isinstance(prefix, str) and not prefix.strip()):
-        raise ValueError("context prefix must contain at least one word")
-    regex = "^" + " ".join(".*" if w == WILDCARD else re.escape(w) for w in words)
-    first = None if words[0] == WILDCARD else words[0]
-    return len(words), regex, first
-
-
-def context_ngram(df: DataFrame, context_prefix: str | Sequence[str | None], input_col: str = "words",
+    For a pattern of plain words after ``^`` the n-gram strings are built only
+    at positions whose token is its first word; every other pattern is tested
+    on every n-gram."""
+    plain = _PLAIN_WORDS.fullmatch(pattern)
+    if plain and n > 1:
+        rows = explode_rows(df, ngrams_starting_with(words_col, n, plain.group(1)), out_col)
+    else:
+        rows = explode_ngrams(df, n, words_col, out_col)
+    return rows.filter(F.col(out_col).rlike(pattern))
+
+
+@dataclass(frozen=True)
+class Context:
+    """The tokens that a context asks for, one a position; None is any token."""
+
+    tokens: tuple[str | None, ...]
+
+    @classmethod
+    def of(cls, context: str | Iterable[str | None] | None) -> Context:
+        """From text (split at blanks) or a list of tokens; the word ``null`` is any token."""
+        parts = context.split() if isinstance(context, str) else tuple(context or ())
+        if not parts:
+            raise ValueError("a context needs at least one token")
+        return cls(tuple(None if p == WILDCARD else p for p in parts))
+
+    @property
+    def first(self) -> str | None:
+        """The token every matching n-gram starts with, when the context fixes it whole."""
+        return self.tokens[0] if len(self.tokens) > 1 else None
+
+    def regex(self) -> str:
+        """A Java pattern for the n-gram's text, anchored at its start only:
+        after the last token anything may follow."""
+        quoted = ("\\Q" + t.replace("\\E", "\\E\\\\E\\Q") + "\\E" if t is not None else ".*" for t in self.tokens)
+        return "^" + " ".join(quoted)
+
+    def fits(self, words: Column, start: Column) -> Column:
+        """Whether the tokens from 1-based ``start`` are those asked for, each compared whole."""
+        asked = [F.element_at(words, start + j) == t for j, t in enumerate(self.tokens) if t is not None]
+        return reduce(lambda a, b: a & b, asked, F.lit(True))
+
+    def grams(self, words: Column, exact: bool) -> Column:
+        """The n-grams that can match: all that do if ``exact``, else those the regex has to test."""
+        n = len(self.tokens)
+        if exact:
+            starts = F.filter(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: self.fits(words, i))
+            found = F.transform(starts, lambda i: gram_at(words, i, n))
+            return F.when(F.size(words) >= n, found)
+        return ngrams(words, n) if self.first is None else ngrams_starting_with(words, n, self.first)
+
+
+def context_ngram(df: DataFrame, context: str | Iterable[str | None], input_col: str = "words",
                   out_col: str = "ngram", count_col: str = "estfrequency", exact: bool = False) -> DataFrame:
     """Frequencies of the n-grams that fit a context such as
     ``'quality null null'``, most frequent first.
 
-    Default (regex) semantics: the context regex is anchored at the start
-    only, so the last literal word matches as a prefix.  When the prefix
-    starts with a literal word, only positions whose token equals it are
-    turned into n-gram strings (an n-gram string can only begin with
-    ``word + ' '`` when its first token is that word, because tokens hold no
-    whitespace); the regex then applies the full context.
-
-    ``exact=True`` compares whole tokens position by position (wildcards
-    match any one token) and uses no regex.
-
-    Either way the filter runs before the shuffle, so only matching n-grams
-    are counted.
-    """
-    n, regex, first = context_pattern(context_prefix)
-    words = F.col(input_col)
-    if exact:
-        grams = _exact_context_grams(words, context_prefix, n)
-        matched = explode_rows(df, grams, out_col)
-    else:
-        grams = ngrams_starting_with(words, n, first) if first is not None and n > 1 else ngrams(words, n)
-        matched = explode_rows(df, grams, out_col).filter(F.col(out_col).rlike(regex))
-    counts = matched.groupBy(out_col).agg(F.count(F.lit(1)).alias(count_col))
-    return counts.orderBy(F.col(count_col).desc(), F.col(out_col))
-
-
-def _exact_context_grams(words, prefix, n: int):
-    tokens = prefix.split() if isinstance(prefix, str) else [WILDCARD if w is None else w for w in prefix]
-    literal = [(j, w) for j, w in enumerate(tokens) if w != WILDCARD]
-
-    def fits(i):
-        cond = F.lit(True)
-        for j, w in literal:
-            cond = cond & (F.element_at(words, i + j) == F.lit(w))
-        return cond
-
-    starts = F.filter(F.sequence(F.lit(1), F.size(words) - (n - 1)), fits)
-    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.element_at(words, i + k) for k in range(n)]))
-    return F.when(words.isNull(), F.lit(None)).when(F.size(words) >= n, grams).otherwise(
-        F.array().cast("array<string>"))
+    By default the context's regex is searched in the n-gram, so the last
+    literal token also matches as a prefix ('red one' finds 'red ones');
+    ``exact`` compares whole tokens instead.  Either way n-grams are filtered
+    before the shuffle and only matching ones are counted."""
+    asked = Context.of(context)
+    rows = explode_rows(df, asked.grams(F.col(input_col), exact), out_col)
+    if not exact:
+        rows = rows.filter(F.col(out_col).rlike(asked.regex()))
+    return (rows.groupBy(out_col).agg(F.count(F.lit(1)).alias(count_col))
+                .orderBy(F.col(count_col).desc(), F.col(out_col)))

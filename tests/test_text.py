@@ -1,8 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.text import clean_text, ngrams, ngrams_starting_with, split_words, tokenize
-from tessera.operators.text import context_ngram, context_pattern, ngram_counts, ngram_frequency
+from tessera.operators.text import Context, context_ngram, ngram_counts, ngram_frequency, ngram_regex_filter
 
 EDGE = ["", "   ", " a b ", "A  B", "a\tb\nc", "ends with space ", "x", "Hello World", "é à b"]
 
@@ -55,13 +57,38 @@ def test_ngrams_starting_with_equals_filtered(spark):
     assert a == b
 
 
-def test_context_pattern():
-    assert context_pattern("quality null null") == (3, "^quality .* .*", "quality")
-    assert context_pattern(["a.b", None]) == (2, "^a\\.b .*", "a.b")
-    assert context_pattern("null good")[2] is None
-    for bad in ("", "   ", None):
+def test_context_reading():
+    assert Context.of("quality null null").tokens == ("quality", None, None)
+    assert Context.of(["a.b", None]).first == "a.b" and Context.of("null good").first is None
+    assert Context.of("good").first is None  # it need only begin the n-gram
+    for bad in ("", "   ", None, []):
         with pytest.raises(ValueError):
-            context_pattern(bad)
+            Context.of(bad)
+
+
+def test_context_tokens_are_literal(spark):
+    df = spark.createDataFrame([(["a.b", "c"],), (["axb", "c"],), (["\\e", "c"],), (["a\\eb", "c"],)], "words array<string>")
+    assert [r.ngram for r in context_ngram(df, ["a.b", None]).collect()] == ["a.b c"]
+    odd = spark.createDataFrame([(["a\\Eb", "c"],), (["ab", "c"],)], "words array<string>")
+    assert [r.ngram for r in context_ngram(odd, [None, "c"]).collect()] == ["a\\Eb c", "ab c"]
+    assert [r.ngram for r in context_ngram(odd, ["a\\Eb", "c"]).collect()] == ["a\\Eb c"]
+
+
+def test_regex_shortcut_is_only_for_plain_words(spark):
+    df = spark.createDataFrame([(["red", "one"],), (["good", "cat"],), (["redone", "a"],)], "words array<string>")
+    grams = ["good cat", "red one", "redone a"]
+    for pattern in ("^red |^good ", "^red ?one", "^red *one", "^red {0,1}one", "^red one", "^red ", "^(red) one", "^red o.e"):
+        got = sorted(r.ngram for r in ngram_regex_filter(df, 2, pattern).collect())
+        assert got == [g for g in grams if re.search(pattern, g)], pattern
+
+
+def test_tokenize_line_ends_as_ml_tokenizer(spark):
+    from pyspark.ml.feature import Tokenizer
+    texts = ["foo \u2028", "foo \u0085", "a \u2029b \u2029", "x\u2028", "  y \n", "a  b", "z\u00a0 ", "q" + " " * 50 + "r" + " " * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    own = [r.w for r in df.select(tokenize("s").alias("w")).collect()]
+    ml = [r.w for r in Tokenizer(inputCol="s", outputCol="w").transform(df).collect()]
+    assert own == ml
 
 
 def test_context_ngram_prefix_semantics(spark):
@@ -97,7 +124,6 @@ def test_clean_text_and_split(spark):
 
 
 def test_regex_filter_with_anchored_word(spark):
-    from tessera.operators.text import ngram_regex_filter
     df = spark.createDataFrame([("red one two three red ones x y",), ("a red one b c",)], "m string")
     w = df.select(tokenize("m").alias("words"))
     got = sorted(r.g for r in ngram_regex_filter(w, 4, r"^red one", out_col="g").collect())
