@@ -1,14 +1,10 @@
-from tessera.sources.readers import (read_csv, read_delimited, read_lines, read_tsv,
-                                     read_tsv_headerless, read_w3c_log, skip_lines,
-                                     split_delimited)
-from tessera.sources.schemas import (LEXICON_COLUMNS, LEXICON_SCHEMA, MESSAGE_JSON_SCHEMA,
-                                     PRODUCTS_COLUMNS, PRODUCTS_SCHEMA, RATINGS_COLUMNS,
-                                     RATINGS_SCHEMA, WEBLOG_SCHEMA)
-from tessera.sources.sinks import write_csv, write_text_lines
+from tessera.sources.readers import (read_csv, read_delimited, read_lines, read_tsv, read_tsv_headerless, read_w3c_log,
+                                     skip_lines)
+from tessera.sources.schemas import (LEXICON_COLUMNS, LEXICON_SCHEMA, MESSAGE_JSON_SCHEMA, PART_SCHEMA, PRODUCTS_SCHEMA,
+                                     WEBLOG_SCHEMA, ZONE_SCHEMA)
+from tessera.sources.sinks import write_csv
 
 __all__ = [
-    "read_csv", "read_delimited", "read_lines", "read_tsv", "read_tsv_headerless", "read_w3c_log",
-    "skip_lines", "split_delimited", "write_csv", "write_text_lines",
-    "WEBLOG_SCHEMA", "MESSAGE_JSON_SCHEMA", "RATINGS_COLUMNS", "RATINGS_SCHEMA", "PRODUCTS_COLUMNS",
-    "PRODUCTS_SCHEMA", "LEXICON_COLUMNS", "LEXICON_SCHEMA",
+    "read_csv", "read_delimited", "read_lines", "read_tsv", "read_tsv_headerless", "read_w3c_log", "skip_lines", "write_csv",
+    "WEBLOG_SCHEMA", "MESSAGE_JSON_SCHEMA", "PART_SCHEMA", "PRODUCTS_SCHEMA", "LEXICON_COLUMNS", "LEXICON_SCHEMA", "ZONE_SCHEMA",
 ]

@@ -11,11 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.operators.joins import bounded_broadcast
 from tessera.sources.schemas import WEBLOG_SCHEMA
 
 
@@ -69,44 +68,35 @@ def read_w3c_log(spark: SparkSession, path, schema: StructType = WEBLOG_SCHEMA)
     return read_delimited(spark, path, sep=" ", header=False, schema=schema, comment="#")
 
 
-def skip_lines(df: DataFrame, n: int, *, max_broadcast_files: int = 200_000) -> DataFrame:
+MAX_SKIPPED = 1000
+
+
+def skip_lines(df: DataFrame, n: int) -> DataFrame:
     """Drop the first ``n`` lines of every input file of a file scan.
 
-    Line position is only knowable inside the split that starts at byte 0 of
-    a file; rows of that split are read in order by one task, so
-    ``monotonically_increasing_id`` is contiguous over them.  We take the
-    first id per file (a map-side-combined aggregate: one row per file), turn
-    it into the ids of the ``n`` header rows and anti-join them away.  The
-    header-id table has ``files * n`` rows, bounded by the file listing, so
-    it is broadcast only when that bound is small.
+    A split's lines are read in order by one task, so generated row ids are
+    contiguous over them.  The split at byte 0 of a file says where the file
+    begins and how many lines it holds there; only for files that hold fewer
+    than ``n`` there are later splits counted as well, in order (as a rule
+    there is none, and AQE drops that branch).  A file with ``n`` lines or
+    fewer loses all of its own and none of another's.
+
+    The ids to drop, at most ``n`` a file, are broadcast: the driver holds the
+    listing of the same files anyway.
     """
     if n <= 0:
         return df
+    if n > MAX_SKIPPED:
+        raise ValueError(f"at most {MAX_SKIPPED} lines can be skipped a file")
     tagged = (df.withColumn("_row_id", F.monotonically_increasing_id())
                 .withColumn("_file", F.col("_metadata.file_path"))
-                .withColumn("_block_start", F.col("_metadata.file_block_start")))
-    firsts = (tagged.filter(F.col("_block_start") == 0)
-                    .groupBy("_file").agg(F.min("_row_id").alias("_first_id")))
-    header_ids = firsts.select(
-        F.explode(F.sequence(F.col("_first_id"), F.col("_first_id") + F.lit(n - 1))).alias("_row_id"))
-    n_files = len(df.inputFiles())
-    header_ids = bounded_broadcast(header_ids, known_rows=n_files * n, max_rows=max_broadcast_files)
-    kept = tagged.join(header_ids, "_row_id", "left_anti")
-    return kept.drop("_row_id", "_file", "_block_start")
-
-
-def split_delimited(lines: DataFrame, schema: StructType, sep: str = " ", column: str = "value") -> DataFrame:
-    """Parse already-read text lines into typed columns (same rules as the
-    CSV reader: short rows null-padded, bad numbers null)."""
-    parts = F.split(F.col(column), _regex_literal(sep))
-    cols: list[Column] = []
-    for i, field in enumerate(schema.fields):
-        raw = F.get(parts, i)
-        raw = F.when(raw == "", None).otherwise(raw)
-        cols.append(raw.try_cast(field.dataType).alias(field.name) if field.dataType.simpleString() != "string"
-                    else raw.alias(field.name))
-    return lines.select(*cols)
-
-
-def _regex_literal(s: str) -> str:
-    return "".join("\\" + ch if not ch.isalnum() else ch for ch in s)
+                .withColumn("_block", F.col("_metadata.file_block_start")))
+    held = [F.min("_row_id").alias("_first"), F.count(F.lit(1)).alias("_lines")]
+    heads = tagged.filter("_block = 0").groupBy("_file", "_block").agg(*held)
+    short = heads.filter(F.col("_lines") < n).select("_file")
+    later = tagged.filter("_block > 0").join(short, "_file", "left_semi").groupBy("_file", "_block").agg(*held)
+    before = F.sum("_lines").over(Window.partitionBy("_file").orderBy("_block")
+                                  .rowsBetween(Window.unboundedPreceding, -1))
+    cut = heads.unionByName(later).withColumn("_cut", F.least("_lines", n - F.coalesce(before, F.lit(0)))).filter("_cut > 0")
+    ids = cut.select(F.explode(F.sequence("_first", F.col("_first") + F.col("_cut") - 1)).alias("_row_id"))
+    return tagged.join(F.broadcast(ids), "_row_id", "left_anti").drop("_row_id", "_file", "_block")

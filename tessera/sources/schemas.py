@@ -8,6 +8,8 @@ depending on the sample it sees.
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
+# ---------------------------------------------------------------- fixed values
+# Field names and order must match the files.
 # W3C extended / IIS access log, in field order (all nullable).
 WEBLOG_SCHEMA = StructType([
     StructField("date", StringType()),
@@ -40,20 +42,10 @@ MESSAGE_JSON_SCHEMA = StructType([
 ])
 
 # Headerless tab-separated inputs: positional columns get these names.
-RATINGS_COLUMNS = ("posted", "cust_id", "prod_id", "rating", "message")
-PRODUCTS_COLUMNS = ("prod_id", "brand", "name", "price", "cost", "shipping_wt")
 LEXICON_COLUMNS = ("strength", "length", "word", "part_of_speech", "stemmed", "polarity")
 
-RATINGS_SCHEMA = StructType([
-    StructField("posted", StringType()),
-    StructField("cust_id", LongType()),
-    StructField("prod_id", IntegerType()),
-    StructField("rating", DoubleType()),
-    StructField("message", StringType()),
-])
-
 PRODUCTS_SCHEMA = StructType([
-    StructField("prod_id", IntegerType()),
+    StructField("prod_id", LongType()),
     StructField("brand", StringType()),
     StructField("name", StringType()),
     StructField("price", DoubleType()),
@@ -62,3 +54,15 @@ PRODUCTS_SCHEMA = StructType([
 ])
 
 LEXICON_SCHEMA = StructType([StructField(c, StringType()) for c in LEXICON_COLUMNS])
+
+ZONE_SCHEMA = StructType([StructField("time_zone", StringType()), StructField("country", StringType())])
+
+# What the header scan of the product catalogue must deliver, whatever its types are inferred to be.
+PART_SCHEMA = StructType([
+    StructField("p_partkey", LongType()),
+    StructField("p_name", StringType()),
+    StructField("p_brand", StringType()),
+    StructField("p_type", StringType()),
+    StructField("p_size", IntegerType()),
+    StructField("p_retailprice", DoubleType()),
+])

@@ -10,7 +10,3 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True, mode: str = "ove
     """CSV with a header line per part file.  Each task writes its own part
     file, so nothing funnels through one writer."""
     df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
-
-
-def write_text_lines(df: DataFrame, path: str, *, column: str = "value", mode: str = "overwrite") -> None:
-    df.select(column).write.mode(mode).text(path)

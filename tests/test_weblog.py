@@ -78,11 +78,29 @@ def test_skip_lines_many_files_and_splits(spark):
     assert got == want
 
 
-def test_split_delimited_matches_reader_rules(spark):
-    from tessera.sources import split_delimited
-    line = "2024-01-05 10:00:00 W3SVC1 GET /a - 80 - 1.2.3.4 UA - http://r/ host 404 0 0 10 20 -"
-    short = "2024-01-06 11:00:00 W3SVC1"
-    df = spark.createDataFrame([(line,), (short,)], "value string")
-    got = split_delimited(df, WEBLOG_SCHEMA).collect()
-    assert got[0].sc_status == 404 and got[0].cs_uriquery == "-" and got[0].time_taken is None
-    assert got[1].date == "2024-01-06" and got[1].cs_method is None and got[1].sc_status is None
+def test_skip_lines_keeps_other_files_rows(spark):
+    """A file of one line before the tail of another, packed into one task."""
+    files = [["only"], [f"b{i:04d}" for i in range(23)], ["h1", "h2"], ["x", "y", "z"]]
+    root = _write_files(spark, "short", files)
+    for size in ("64", "16", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            for n in (1, 2, 5):
+                got = sorted(r.value for r in skip_lines(read_lines(spark, root), n).collect())
+                assert got == sorted(v for f in files for v in f[n:]), (size, n)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_staged_files_follow_the_splits(spark):
+    from tessera.adapters import stage_files_with_header
+    lines = spark.range(100).selectExpr("CAST(id AS STRING) AS value").repartition(5)
+    path = stage_files_with_header(spark, lines, ["#a", "#b"], "staged")
+    got = spark.read.text(path)
+    assert len(got.inputFiles()) == 5 and got.count() == 110
+    assert skip_lines(got, 2).count() == 100 and skip_lines(got, 2).filter("value LIKE '#%'").count() == 0
+    for file in got.inputFiles():
+        with open(local_path(file.replace("file:///", "/"))) as f:
+            assert [next(f), next(f)] == ["#a\n", "#b\n"]
