@@ -1,14 +1,13 @@
-from tessera.operators.joins import bounded_broadcast, left_join, semi_join
-from tessera.operators.partitioning import ensure_parallelism, explode_rows
-from tessera.operators.relational import order_desc, row_count, top_k, top_k_per_group, union_all
-from tessera.operators.sentiment import (attach_sentiment_code, explode_words, message_sentiment,
-                                         net_lexicon, word_polarity)
-from tessera.operators.text import (context_ngram, context_pattern, explode_ngrams, ngram_counts,
-                                    ngram_frequency, ngram_regex_filter, tokenize_frame)
+from tessera.operators.generators import explode_rows
+from tessera.operators.joins import left_join, semi_join
+from tessera.operators.relational import top_k, top_k_per_group, union_all
+from tessera.operators.sentiment import (explode_words, message_sentiment, net_lexicon, with_sentiment_code,
+                                         word_polarity)
+from tessera.operators.text import (Context, context_ngram, explode_ngrams, ngram_counts, ngram_frequency,
+                                    ngram_regex_filter)
 
 __all__ = [
-    "bounded_broadcast", "left_join", "semi_join", "ensure_parallelism", "explode_rows", "order_desc", "row_count", "top_k", "top_k_per_group",
-    "union_all", "attach_sentiment_code", "explode_words", "message_sentiment", "net_lexicon",
-    "word_polarity", "context_ngram", "context_pattern", "explode_ngrams", "ngram_counts",
-    "ngram_frequency", "ngram_regex_filter", "tokenize_frame",
+    "explode_rows", "left_join", "semi_join", "top_k", "top_k_per_group", "union_all", "explode_words",
+    "message_sentiment", "net_lexicon", "with_sentiment_code", "word_polarity", "Context", "context_ngram",
+    "explode_ngrams", "ngram_counts", "ngram_frequency", "ngram_regex_filter",
 ]

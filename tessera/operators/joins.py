@@ -1,11 +1,8 @@
-"""Join helpers with an explicit size check before any broadcast.
-
-A side is broadcast only under a proven bound: either a static bound the
-caller knows (a code-side constant table, k rows of a top-k, the file
-listing) or a bounded probe, ``limit(max_rows + 1).count()``, which stops
-reading as soon as the bound is exceeded.  Beyond the bound the join is left
-to Catalyst and AQE (shuffled sort-merge join, runtime skew splitting, and a
-runtime switch to broadcast if the real shuffle output turns out small).
+"""Joins.
+
+Whether a side is broadcast is left to the optimizer and AQE, which know sizes
+in bytes.  The one exception is a side whose row count is fixed by the query
+itself (the ``k`` rows of a top-k): that is broadcast by name.
 """
 
 from __future__ import annotations
@@ -15,26 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for broadcasting a dimension.  A few hundred MB of
-# executor memory at ~100 bytes per row, well inside a broadcast block.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, *, known_rows: int | None = None,
-                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it provably holds at most ``max_rows``."""
-    rows = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+# Most rows that a query-fixed bound may have to be broadcast by name.
+MAX_FIXED_ROWS = 100_000
 
 
-def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, *,
-              dim_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:
     """Left outer join of a fact table to a dimension; duplicate dimension
     keys fan out, null or unmatched keys keep the fact row with nulls."""
-    return fact.join(bounded_broadcast(dim, known_rows=dim_rows, max_rows=max_rows), on, "left")
+    return fact.join(dim, on, "left")
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str] | Column, *,
-              keys_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys`` (each row at most once)."""
-    return df.join(bounded_broadcast(keys, known_rows=keys_rows, max_rows=max_rows), on, "left_semi")
+              fixed_rows: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``keys`` (each row at most once).
+    ``fixed_rows``: a row count that ``keys`` cannot exceed by construction."""
+    if fixed_rows is not None and fixed_rows <= MAX_FIXED_ROWS:
+        keys = F.broadcast(keys)
+    return df.join(keys, on, "left_semi")

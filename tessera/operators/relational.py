@@ -1,5 +1,5 @@
 """Relational building blocks: deterministic top-k, per-group top-k,
-positional/by-name union, table counts."""
+positional/by-name union."""
 
 from __future__ import annotations
 
@@ -37,13 +37,3 @@ def union_all(a: DataFrame, b: DataFrame, *, by_name: bool = True) -> DataFrame:
     """UNION ALL.  By name by default (safe under column reordering); pass
     ``by_name=False`` for positional semantics."""
     return a.unionByName(b) if by_name else a.union(b)
-
-
-def row_count(df: DataFrame, alias: str = "n") -> DataFrame:
-    """A one-row DataFrame holding ``count(*)`` (partial counts per task)."""
-    return df.agg(F.count(F.lit(1)).alias(alias))
-
-
-def order_desc(df: DataFrame, col: str, tie_keys: Sequence[str] = ()) -> DataFrame:
-    """Total order, descending on ``col`` then ascending tie keys."""
-    return df.orderBy(F.col(col).desc(), *[F.col(c).asc_nulls_first() for c in tie_keys])

@@ -1,21 +1,18 @@
 """Lexicon sentiment of short messages.
 
-Words are matched case-sensitively and exactly against a lexicon.  The
-lexicon is a dimension: it is broadcast behind a size check, so the word
-rows never shuffle on the word (a very common word cannot create a hot
-partition).  The per-message sum is partially aggregated in each task
-before the only shuffle, which is keyed by message id.
+Words are matched case-sensitively and exactly against a lexicon, a small
+dimension that the optimizer broadcasts, so word rows don't shuffle on the
+word.  Scores are summed in each task before they move.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.sentiment import polarity_score, sentiment_code, sentiment_label
+from tessera.functions.sentiment import polarity_score, score_code, sentiment_label
 from tessera.functions.text import split_words
-from tessera.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
-from tessera.operators.partitioning import explode_rows
+from tessera.operators.generators import explode_rows
 
 
 def explode_words(df: DataFrame, id_col: str = "id", text_col: str = "text", *,
@@ -25,12 +22,10 @@ def explode_words(df: DataFrame, id_col: str = "id", text_col: str = "text", *,
 
 
 def word_polarity(words: DataFrame, lexicon: DataFrame, *, id_col: str = "id", word_col: str = "word",
-                  out_id: str = "tweet_id", lexicon_rows: int | None = None,
-                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  out_id: str = "tweet_id") -> DataFrame:
     """Per-word polarity -1/0/+1 by left join to the lexicon.  A word listed
     twice in the lexicon yields two rows, as a plain join does."""
-    lex = bounded_broadcast(lexicon.select(F.col("word").alias("_lex_word"), "polarity"),
-                            known_rows=lexicon_rows, max_rows=max_rows)
+    lex = lexicon.select(F.col("word").alias("_lex_word"), "polarity")
     joined = words.join(lex, F.col(word_col) == F.col("_lex_word"), "left")
     return joined.select(F.col(id_col).alias(out_id), F.col(word_col).alias("word"),
                          polarity_score("polarity").alias("polarity"))
@@ -45,22 +40,36 @@ def net_lexicon(lexicon: DataFrame) -> DataFrame:
 
 
 def message_sentiment(words: DataFrame, lexicon: DataFrame, *, id_col: str = "id", word_col: str = "word",
-                      out_id: str = "tweet_id", lexicon_rows: int | None = None,
-                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      out_id: str = "tweet_id") -> DataFrame:
     """(tweet_id, sentiment): positive / negative / neutral from the sign of
     the summed word polarities.  Every message with at least one word gets a
     row; all copies of a duplicated id are summed together."""
-    lex = bounded_broadcast(net_lexicon(lexicon).withColumnRenamed("word", "_lex_word"),
-                            known_rows=lexicon_rows, max_rows=max_rows)
+    lex = net_lexicon(lexicon).withColumnRenamed("word", "_lex_word")
     scored = words.join(lex, F.col(word_col) == F.col("_lex_word"), "left")
     return scored.groupBy(F.col(id_col).alias(out_id)).agg(
         sentiment_label(F.coalesce(F.sum("score"), F.lit(0))).alias("sentiment"))
 
 
-def attach_sentiment_code(messages: DataFrame, sentiments: DataFrame, id_col: str = "tweet_id") -> DataFrame:
-    """Left join each message to its id's sentiment, coded 2/1/0 (null when
-    the id has none).  The per-id side has one row per id; a hot id on the
-    message side is split by AQE's skew-join handling."""
-    t, s = messages.alias("t"), sentiments.alias("s")
-    joined = t.join(s, F.col(f"t.{id_col}") == F.col(f"s.{id_col}"), "left")
-    return joined.select(F.col("t.*"), sentiment_code(F.col("s.sentiment")).alias("sentiment"))
+def with_sentiment_code(messages: DataFrame, lexicon: DataFrame, *, key_col: str, id_col: str = "id",
+                        text_col: str = "text", lowercase: bool = False, out_col: str = "sentiment") -> DataFrame:
+    """Adds to every message the code (2 / 1 / 0) of all messages with its id
+    together; null where the id is null or none of them has a word.
+
+    ``key_col`` names the message's group: the id, and anything that spreads
+    the messages without one.  A message becomes one row with all its columns
+    plus one short row a lexicon word, so a text is read, parsed and shuffled
+    once; the sum runs over the group's rows where they already are."""
+    payload = F.struct(*[F.col(c) for c in messages.columns])
+    parts = messages.select(F.col(key_col).alias("_key"), payload.alias("_message"),
+                            F.posexplode_outer(split_words(text_col, lowercase=lowercase)).alias("_pos", "_word"))
+    head = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    slim = parts.select("_key", F.when(head, F.col("_message")).alias("_message"), "_word",
+                        F.col("_word").isNotNull().cast("int").alias("_has"))
+    lex = net_lexicon(lexicon).select(F.col("word").alias("_lex_word"), "score")
+    found = (slim.join(lex, F.col("_word") == F.col("_lex_word"), "left").drop("_word", "_lex_word")
+                 .filter(F.col("_message").isNotNull() | F.col("score").isNotNull()))
+    group = Window.partitionBy("_key")
+    summed = (found.withColumn("_sum", F.coalesce(F.sum("score").over(group), F.lit(0)))
+                   .withColumn("_words", F.max("_has").over(group)).filter(F.col("_message").isNotNull()))
+    code = F.when(F.col(f"_message.{id_col}").isNotNull() & (F.col("_words") == 1), score_code(F.col("_sum")))
+    return summed.select("_message.*", code.alias(out_col))

@@ -1,29 +1,31 @@
 """K7 — lexicon sentiment of JSON messages, geo-enriched by time zone.
 
-raw text lines -> parsed fields -> (a) timestamp text + country by time
-zone (broadcast dimension); (b) words -> lexicon (broadcast dimension) ->
-per-message sign of the summed polarity; (a) left-join (b) on the message
-id -> valid rows with cleaned text.
+raw text lines -> parsed fields, once -> sentiment code of each id (words,
+lexicon, sum within the id) -> timestamp and country by time zone -> valid
+rows with cleaned text.  The text crosses one shuffle, keyed by message id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.functions.temporal import created_at_field, created_at_parts, sortable_timestamp
+from tessera.functions.temporal import created_at_field, created_at_parts, sortable_timestamp, timestamp_of
 from tessera.functions.text import clean_text
-from tessera.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
-from tessera.operators.sentiment import attach_sentiment_code, explode_words, message_sentiment
+from tessera.operators.joins import left_join
+from tessera.operators.sentiment import explode_words, with_sentiment_code
 from tessera.sources.schemas import MESSAGE_JSON_SCHEMA
 
 
-def parse_messages(raw: DataFrame, schema: StructType = MESSAGE_JSON_SCHEMA, value_col: str = "value") -> DataFrame:
+def parse_messages(raw: DataFrame, schema: StructType = MESSAGE_JSON_SCHEMA, value_col: str = "value",
+                   keep: Sequence[Column] = ()) -> DataFrame:
     """JSON text line -> typed fields.  A malformed line gives all-null
     fields, a non-numeric id a null id (never an error)."""
     j = F.from_json(F.col(value_col), schema).alias("j")
-    parsed = raw.select(j)
+    parsed = raw.select(j, *keep)
     created = F.col("j.created_at")
     return parsed.select(
         F.col("j.id_str").try_cast("bigint").alias("id"),
@@ -31,25 +33,29 @@ def parse_messages(raw: DataFrame, schema: StructType = MESSAGE_JSON_SCHEMA, val
         *[c.alias(name) for name, c in created_at_parts(created).items()],
         F.col("j.text").alias("text"),
         F.col("j.user.time_zone").alias("time_zone"),
+        *[c for c in parsed.columns if c != "j"],
     )
 
 
-def simple_messages(parsed: DataFrame) -> DataFrame:
+def simple_messages(parsed: DataFrame, *keep: str) -> DataFrame:
     ts = sortable_timestamp(F.col("created_at_year"), F.col("created_at_month"),
                             created_at_field("created_at", "day"), F.col("created_at_time"))
     return parsed.select(F.col("id").alias("tweet__id"), ts.alias("timestamp"), F.col("text").alias("msg"),
-                         F.col("time_zone"))
+                         F.col("time_zone"), *keep)
+
+
+def message_times(parsed: DataFrame) -> DataFrame:
+    """(tweet_id, ts): the sortable text as a real timestamp; a bad one is null."""
+    simple = simple_messages(parsed)
+    return simple.select(F.col("tweet__id").alias("tweet_id"), timestamp_of("timestamp").alias("ts"))
 
 
-def with_country(simple: DataFrame, zone_map: DataFrame, *, zone_rows: int | None = None,
-                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def with_country(simple: DataFrame, zone_map: DataFrame, *keep: str) -> DataFrame:
     """(tweet_id, ts, msg, country) — country by time zone; a null or
     unknown zone gives null, a zone mapped twice gives two rows."""
-    m = bounded_broadcast(zone_map.select(F.col("time_zone").alias("_zone"), "country"),
-                          known_rows=zone_rows, max_rows=max_rows)
-    joined = simple.join(m, F.col("time_zone") == F.col("_zone"), "left")
-    return joined.select(F.col("tweet__id").alias("tweet_id"), F.col("timestamp").alias("ts"),
-                         F.col("msg"), F.col("country"))
+    zones = zone_map.select(F.col("time_zone").alias("_zone"), "country")
+    return left_join(simple, zones, F.col("time_zone") == F.col("_zone")).select(
+        F.col("tweet__id").alias("tweet_id"), F.col("timestamp").alias("ts"), F.col("msg"), F.col("country"), *keep)
 
 
 def message_words(parsed: DataFrame, lowercase: bool = False) -> DataFrame:
@@ -57,16 +63,16 @@ def message_words(parsed: DataFrame, lowercase: bool = False) -> DataFrame:
     return explode_words(parsed, "id", "text", lowercase=lowercase)
 
 
-def scored_messages(raw: DataFrame, zone_map: DataFrame, lexicon: DataFrame, *,
-                    zone_rows: int | None = None, lexicon_rows: int | None = None,
-                    lowercase: bool = False) -> DataFrame:
-    """Every message with country and sentiment code (null code when the
-    message has no words).  Words match the lexicon case-sensitively unless
-    ``lowercase`` folds the message words first."""
-    parsed = parse_messages(raw)
-    located = with_country(simple_messages(parsed), zone_map, zone_rows=zone_rows)
-    sentiments = message_sentiment(message_words(parsed, lowercase=lowercase), lexicon, lexicon_rows=lexicon_rows)
-    return attach_sentiment_code(located, sentiments)
+def scored_messages(raw: DataFrame, zone_map: DataFrame, lexicon: DataFrame, *, lowercase: bool = False,
+                    value_col: str = "value") -> DataFrame:
+    """Every message with country and sentiment code (null code when the id is
+    null or its messages have no words).  Words match the lexicon
+    case-sensitively unless ``lowercase`` folds the message words first.
+    Lines without an id are spread by a hash of the line."""
+    parsed = parse_messages(raw, value_col=value_col, keep=[F.xxhash64(value_col).alias("_line")])
+    keyed = parsed.withColumn("_group", F.struct("id", F.when(F.col("id").isNull(), F.col("_line")))).drop("_line")
+    coded = with_sentiment_code(keyed, lexicon, key_col="_group", lowercase=lowercase)
+    return with_country(simple_messages(coded, "sentiment"), zone_map, "sentiment")
 
 
 def clean_scored(scored: DataFrame) -> DataFrame:
@@ -74,7 +80,3 @@ def clean_scored(scored: DataFrame) -> DataFrame:
     words."""
     return (scored.filter(F.col("tweet_id").isNotNull() & F.col("sentiment").isin(0, 1, 2))
                   .select("tweet_id", "ts", clean_text("msg").alias("message"), "country", "sentiment"))
-
-
-def message_sentiment_report(raw: DataFrame, zone_map: DataFrame, lexicon: DataFrame, **kw) -> DataFrame:
-    return clean_scored(scored_messages(raw, zone_map, lexicon, **kw))

@@ -45,5 +45,5 @@ def topk_with_breakdown(df: DataFrame, k: int = 10, entity: str = "country", cat
     counts = category_counts(df, entity, category, invalid)
     top = top_entities(counts, k, entity).select(F.col(entity).alias("_top_entity"))
     cond = (F.col(entity) == F.col("_top_entity")) & (F.col("cnt") > 0)
-    kept = semi_join(counts, top, cond, keys_rows=k)
+    kept = semi_join(counts, top, cond, fixed_rows=k)
     return kept.select(entity, category, "cnt").orderBy(F.col("cnt").desc(), F.col(entity), F.col(category))
