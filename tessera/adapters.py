@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import left_join
-from tessera.operators.partitioning import ensure_parallelism
 from tessera.sources.schemas import LEXICON_COLUMNS
 
 # ---------------------------------------------------------------- fixed values
@@ -54,14 +53,8 @@ REVIEW_PRODUCT_BASE = PRODUCT_ID_BASE + 60
 CREATED_AT_FORMAT = "EEE MMM dd HH:mm:ss '+0000' yyyy"
 
 
-# Text tables whose rows feed heavy per-row CPU work (tokenising, parsing);
-# other tables carry cheap per-row work and are left as read.
-FACT_TABLES = frozenset({"documents", "pages", "conversations"})
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in FACT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def zone_map(spark: SparkSession) -> DataFrame:
@@ -80,7 +73,7 @@ def social_messages(events: DataFrame, customer: DataFrame, nation: DataFrame) -
     e = events.select("event_id", "user_id", "value")
     c = customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    joined = left_join(left_join(e, c, "user_id"), n, "c_nationkey", dim_rows=None)
+    joined = left_join(left_join(e, c, "user_id"), n, "c_nationkey")
     eid = F.col("event_id")
     country = (F.when(eid % 97 == 0, F.lit(None).cast("string")).when(eid % 89 == 0, "")
                 .when(eid % 83 == 0, "null").otherwise(F.col("n_name")))
@@ -90,7 +83,7 @@ def social_messages(events: DataFrame, customer: DataFrame, nation: DataFrame) -
 
 
 _WEBLOG_EXPRS = [
-    "date_format(ts, 'yyyy-MM-dd') AS date",
+    "CASE WHEN event_id % 101 = 3 THEN 'bad-date' ELSE date_format(ts, 'yyyy-MM-dd') END AS date",
     "date_format(ts, 'HH:mm:ss') AS time",
     "'W3SVC1' AS s_sitename",
     "CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS cs_method",
@@ -110,14 +103,15 @@ _WEBLOG_EXPRS = [
     "0 AS sc_substatus",
     "0 AS sc_win32status",
     "CAST(floor(value * 100) AS INT) AS sc_bytes",
-    "CAST(length(props) AS INT) AS cs_bytes",
+    "CASE WHEN event_id % 103 = 4 THEN NULL ELSE CAST(length(props) AS INT) END AS cs_bytes",
     "CAST(event_id % 1000 AS INT) AS time_taken",
 ]
 
 
 def weblog(events: DataFrame) -> DataFrame:
     """One W3C access-log record per event (status 2xx..5xx by id, referrer
-    by id, client IP by user, a tracing GUID in most query strings)."""
+    by id, client IP by user, a tracing GUID in most query strings); some
+    dates are no dates and some byte counts are missing."""
     h = F.md5(F.col("event_id").cast("string"))
     guid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
@@ -125,8 +119,9 @@ def weblog(events: DataFrame) -> DataFrame:
 
 
 def weblog_lines(logs: DataFrame) -> DataFrame:
-    """Render log records as space-separated text lines (``value``)."""
-    return logs.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in logs.columns]).alias("value"))
+    """Render log records as space-separated text lines (``value``); a missing value is ``-``."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in logs.columns]
+    return logs.select(F.concat_ws(" ", *fields).alias("value"))
 
 
 def hvac_readings(lineitem: DataFrame) -> DataFrame:
@@ -146,13 +141,15 @@ def buildings(part: DataFrame) -> DataFrame:
 
 def ratings(documents: DataFrame) -> DataFrame:
     """One product review per document: posted in 2012 or 2013, product by
-    document source, rating 1..5."""
+    document source, rating 1..5; a few texts are missing or blank."""
+    doc = F.col("doc_id")
+    message = F.when(doc % 241 == 17, F.lit(None).cast("string")).when(doc % 251 == 19, "  ").otherwise(F.col("text"))
     return documents.select(
-        F.date_add(F.lit("2012-01-01").cast("date"), (F.col("doc_id") % 731).cast("int")).alias("posted"),
-        F.col("doc_id").alias("cust_id"),
+        F.date_add(F.lit("2012-01-01").cast("date"), (doc % 731).cast("int")).alias("posted"),
+        doc.alias("cust_id"),
         (F.lit(REVIEW_PRODUCT_BASE) + F.substring("source", 4, 10).try_cast("int")).alias("prod_id"),
         ((F.col("n_chars") % 5) + 1).cast("int").alias("rating"),
-        F.col("text").alias("message"))
+        message.alias("message"))
 
 
 def ratings_for_year(documents: DataFrame, year: int) -> DataFrame:
@@ -162,7 +159,7 @@ def ratings_for_year(documents: DataFrame, year: int) -> DataFrame:
 
 def products(part: DataFrame) -> DataFrame:
     return part.select(
-        (F.lit(PRODUCT_ID_BASE) + F.col("p_partkey")).cast("int").alias("prod_id"),
+        (F.lit(PRODUCT_ID_BASE) + F.col("p_partkey")).alias("prod_id"),
         F.col("p_brand").alias("brand"), F.col("p_name").alias("name"),
         F.col("p_retailprice").alias("price"), (F.col("p_retailprice") * 0.75).alias("cost"),
         (F.col("p_size").cast("double") / 10).alias("shipping_wt"))
@@ -174,13 +171,18 @@ def message_timestamp(doc_id_col: str = "doc_id"):
 
 
 def raw_messages(documents: DataFrame) -> DataFrame:
-    """One JSON message per document as a text line (``value``)."""
-    msg = F.struct(
-        F.col("doc_id").cast("string").alias("id_str"),
-        F.date_format(message_timestamp(), CREATED_AT_FORMAT).alias("created_at"),
-        F.col("text").alias("text"),
-        F.struct(F.col("source").alias("time_zone")).alias("user"))
-    return documents.select(F.to_json(msg).alias("value"))
+    """One JSON message per document as a text line (``value``).  Some lines
+    are no JSON; some ids are no numbers or repeat the one before; some texts
+    are missing or blank; some dates are no dates."""
+    doc = F.col("doc_id")
+    ident = (F.when(doc % 223 == 7, F.concat(F.lit("x"), doc.cast("string")))
+              .when((doc % 227 == 9), (doc - 1).cast("string")).otherwise(doc.cast("string")))
+    text = F.when(doc % 229 == 11, F.lit(None).cast("string")).when(doc % 233 == 13, "   ").otherwise(F.col("text"))
+    created = F.when(doc % 239 == 15, "bad").otherwise(F.date_format(message_timestamp(), CREATED_AT_FORMAT))
+    msg = F.struct(ident.alias("id_str"), created.alias("created_at"), text.alias("text"),
+                   F.struct(F.col("source").alias("time_zone")).alias("user"))
+    return documents.select(F.when(doc % 211 == 5, F.concat(F.lit("{not json "), doc.cast("string")))
+                             .otherwise(F.to_json(msg)).alias("value"))
 
 
 # ------------------------------------------------------------ staged files
@@ -204,22 +206,17 @@ def stage_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
-def stage_files_with_header(spark: SparkSession, lines: DataFrame, header: list[str], name: str,
-                            n_files: int = 4) -> str:
-    """Spread text lines over ``n_files`` files, each starting with the
-    ``header`` lines; files land in ``<path>/f=<i>/``."""
+def stage_files_with_header(spark: SparkSession, lines: DataFrame, header: list[str], name: str) -> str:
+    """Write text lines to one file for each split of the input, every file
+    starting with the ``header`` lines: a split's first row (the one whose
+    place in it is 0) brings them along, so no row moves."""
     from tessera.session import shared_path
     path = shared_path(spark, name)
-    body = lines.select(F.pmod(F.xxhash64("value"), F.lit(n_files)).alias("f"),
-                        F.lit(len(header)).alias("o"), "value")
-    heads = (spark.range(n_files).select(
-                F.col("id").alias("f"),
-                F.explode(F.array(*[F.struct(F.lit(i).alias("o"), F.lit(h).alias("value"))
-                                    for i, h in enumerate(header)])).alias("h"))
-             .select("f", "h.o", "h.value"))
-    rows = (heads.unionByName(body).repartition(n_files, "f").sortWithinPartitions("f", "o")
-                 .select("f", "value"))
-    rows.write.mode("overwrite").partitionBy("f").text(path)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    value = F.col("value")
+    rows = lines.select(F.explode_outer(F.when(place == 0, F.array(*[F.lit(h) for h in header], value))
+                                         .otherwise(F.array(value))).alias("value"))
+    rows.write.mode("overwrite").text(path)
     return path
 
 

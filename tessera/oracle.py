@@ -1,6 +1,9 @@
-"""Independent DuckDB SQL for every registered query (the correctness
-oracle).  Written from the semantics, not generated from the Spark code:
-the adapters are restated as SQL over the same parquet tables."""
+"""DuckDB SQL for every registered query (the correctness oracle).
+
+Written from the semantics, not generated from the Spark code: adapters and
+operators are restated as SQL over the same parquet tables.  What it shares
+with the Spark side are constants only (zone map, lexicon, id bases, report
+parameters, the tracing-id pattern), so a wrong constant would not show."""
 
 from __future__ import annotations
 
@@ -28,7 +31,7 @@ _GUID = ("(substr(md5(CAST(event_id AS VARCHAR)), 1, 8) || '-' || substr(md5(CAS
          "substr(md5(CAST(event_id AS VARCHAR)), 13, 4) || '-' || substr(md5(CAST(event_id AS VARCHAR)), 17, 4) || '-' || "
          "substr(md5(CAST(event_id AS VARCHAR)), 21, 12))")
 
-WEBLOG = f"""(SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M:%S') AS time,
+WEBLOG = f"""(SELECT CASE WHEN event_id % 101 = 3 THEN 'bad-date' ELSE strftime(ts, '%Y-%m-%d') END AS date, strftime(ts, '%H:%M:%S') AS time,
     'W3SVC1' AS s_sitename,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS cs_method,
     '/' || event_type AS cs_uristem,
@@ -40,7 +43,7 @@ WEBLOG = f"""(SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M:%S')
     CASE WHEN event_id % 7 = 6 THEN '-' ELSE 'http://ref' || CAST(event_id % 7 AS VARCHAR) || '.example.com/' END AS cs_referer,
     'www.example.com' AS cs_host,
     CAST(200 + 100 * (event_id % 4) AS INTEGER) AS sc_status, 0 AS sc_substatus, 0 AS sc_win32status,
-    CAST(floor(value * 100) AS INTEGER) AS sc_bytes, CAST(length(props) AS INTEGER) AS cs_bytes,
+    CAST(floor(value * 100) AS INTEGER) AS sc_bytes, CASE WHEN event_id % 103 = 4 THEN NULL ELSE CAST(length(props) AS INTEGER) END AS cs_bytes,
     CAST(event_id % 1000 AS INTEGER) AS time_taken
   FROM events)"""
 
@@ -61,11 +64,12 @@ HVAC_BUILDING = f"""(SELECT h.TargetTemp, h.ActualTemp, h.System, h.SystemAge, h
 
 RATINGS_ALL = f"""(SELECT DATE '2012-01-01' + CAST(doc_id % 731 AS INTEGER) AS posted, doc_id AS cust_id,
     {REVIEW_PRODUCT_BASE} + TRY_CAST(substr(source, 4, 10) AS INTEGER) AS prod_id,
-    CAST(n_chars % 5 + 1 AS INTEGER) AS rating, text AS message FROM documents)"""
+    CAST(n_chars % 5 + 1 AS INTEGER) AS rating,
+    CASE WHEN doc_id % 241 = 17 THEN NULL WHEN doc_id % 251 = 19 THEN '  ' ELSE text END AS message FROM documents)"""
 R2012 = f"(SELECT * FROM {RATINGS_ALL} WHERE year(posted) = 2012)"
 R2013 = f"(SELECT * FROM {RATINGS_ALL} WHERE year(posted) = 2013)"
-RATINGS = f"(SELECT * FROM {R2012} UNION ALL SELECT * FROM {R2013})"
-PRODUCTS = f"""(SELECT CAST({PRODUCT_ID_BASE} + p_partkey AS INTEGER) AS prod_id, p_brand AS brand, p_name AS name,
+RATINGS = RATINGS_ALL
+PRODUCTS = f"""(SELECT {PRODUCT_ID_BASE} + p_partkey AS prod_id, p_brand AS brand, p_name AS name,
     p_retailprice AS price, p_retailprice * 0.75 AS cost, CAST(p_size AS DOUBLE) / 10 AS shipping_wt FROM part)"""
 
 
@@ -86,11 +90,16 @@ def grams(w: str, n: int) -> str:
 WORDS = f"(SELECT prod_id, cust_id, {tokens('message')} AS words FROM {RATINGS})"
 
 MSG_TS = "(TIMESTAMP '2015-01-01 00:00:00' + to_seconds(CAST((doc_id * 86399) % 315360000 AS BIGINT)))"
-PARSED = f"""(SELECT doc_id AS id, strftime({MSG_TS}, '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
-    strftime({MSG_TS}, '%a %b %d') || ' ' || strftime({MSG_TS}, '%Y') AS created_at_date,
-    strftime({MSG_TS}, '%Y') AS created_at_year, strftime({MSG_TS}, '%m') AS created_at_month,
-    strftime({MSG_TS}, '%d') AS created_at_day, strftime({MSG_TS}, '%H:%M:%S') AS created_at_time,
-    text, source AS time_zone FROM documents)"""
+PARSED = f"""(SELECT CASE WHEN broken OR doc_id % 223 = 7 THEN NULL WHEN doc_id % 227 = 9 THEN doc_id - 1 ELSE doc_id END AS id,
+    CASE WHEN broken THEN NULL WHEN undated THEN 'bad' ELSE strftime(t, '%a %b %d %H:%M:%S +0000 %Y') END AS created_at,
+    CASE WHEN broken THEN NULL WHEN undated THEN 'bad ' ELSE strftime(t, '%a %b %d') || ' ' || strftime(t, '%Y') END AS created_at_date,
+    CASE WHEN broken THEN NULL WHEN undated THEN '' ELSE strftime(t, '%Y') END AS created_at_year,
+    CASE WHEN broken OR undated THEN NULL ELSE strftime(t, '%m') END AS created_at_month,
+    CASE WHEN broken THEN NULL WHEN undated THEN '' ELSE strftime(t, '%d') END AS created_at_day,
+    CASE WHEN broken THEN NULL WHEN undated THEN '' ELSE strftime(t, '%H:%M:%S') END AS created_at_time,
+    CASE WHEN broken OR doc_id % 229 = 11 THEN NULL WHEN doc_id % 233 = 13 THEN '   ' ELSE text END AS text,
+    CASE WHEN broken THEN NULL ELSE source END AS time_zone
+  FROM (SELECT *, {MSG_TS} AS t, doc_id % 211 = 5 AS broken, doc_id % 239 = 15 AS undated FROM documents))"""
 LOCATED = f"""(SELECT p.id AS tweet_id,
     p.created_at_year || ' ' || p.created_at_month || ' ' || p.created_at_day || ' ' || p.created_at_time AS ts,
     p.text AS msg, z.country
@@ -120,7 +129,7 @@ def topk_breakdown(src: str, k: int) -> str:
 LINES_SQL = "concat_ws(' ', date, time, s_sitename, cs_method, cs_uristem, cs_uriquery, CAST(s_port AS VARCHAR), " \
             "cs_username, c_ip, cs_useragent, cs_cookie, cs_referer, cs_host, CAST(sc_status AS VARCHAR), " \
             "CAST(sc_substatus AS VARCHAR), CAST(sc_win32status AS VARCHAR), CAST(sc_bytes AS VARCHAR), " \
-            "CAST(cs_bytes AS VARCHAR), CAST(time_taken AS VARCHAR))"
+            "coalesce(CAST(cs_bytes AS VARCHAR), '-'), CAST(time_taken AS VARCHAR))"
 
 CLIENT_ERRORS_ALL = f"""SELECT sc_status, cs_referer, {PAGE} AS cs_page, count(DISTINCT c_ip) AS cnt
   FROM {WEBLOG} WHERE sc_status >= 400 AND sc_status < 500 GROUP BY ALL"""
@@ -157,7 +166,7 @@ SQL: dict[str, str] = {
         CAST(sum(extremetemp) AS BIGINT) AS extreme_readings, avg(extremetemp) AS extreme_share
         FROM {HVAC_BUILDING} GROUP BY Country, HVACproduct""",
     # ratings / text
-    "union_all": f"SELECT * FROM {RATINGS}",
+    "union_all": f"SELECT * FROM {R2012} UNION ALL SELECT * FROM {R2013}",
     "table_counts": f"""SELECT (SELECT count(*) FROM {R2012}) AS n_2012, (SELECT count(*) FROM {R2013}) AS n_2013,
         (SELECT count(*) FROM {RATINGS}) AS n_total""",
     "rating_extremes": f"""WITH rated AS (SELECT prod_id, avg(rating) AS avg_rating, count(*) AS num
@@ -187,6 +196,14 @@ SQL: dict[str, str] = {
     "context_ngram": f"""SELECT ngram, count(*) AS estfrequency FROM (
         SELECT unnest({grams('words', 3)}) AS ngram FROM {WORDS} WHERE len(words) >= 3)
       WHERE regexp_matches(ngram, '^of the .*') GROUP BY ngram""",
+    "context_ngram_exact": f"""SELECT ngram, count(*) AS estfrequency FROM (
+        SELECT unnest(list_transform(list_filter(generate_series(1, len(words) - 2),
+                                                 lambda i: words[i + 1] = 'of' AND words[i + 2] = 'the'),
+                                     lambda i: array_to_string(words[i:i + 2], ' '))) AS ngram
+        FROM {WORDS} WHERE len(words) >= 3) GROUP BY ngram""",
+    "product_ngrams": f"""SELECT ngram, count(*) AS estfrequency FROM (
+        SELECT unnest({grams('words', 2)}) AS ngram FROM {WORDS} WHERE len(words) >= 2 AND prod_id = {R.REVIEW_PRODUCT})
+      GROUP BY ngram ORDER BY estfrequency DESC, ngram LIMIT {R.TOP_K}""",
     "comment_search": f"SELECT prod_id, cust_id, message FROM {RATINGS} WHERE contains(message, '{R.COMMENT_PHRASE}')",
     "distinct_like": f"SELECT DISTINCT message FROM {RATINGS} WHERE message LIKE '%{R.COMMENT_WORD}%'",
     "point_lookup": f"SELECT * FROM {PRODUCTS} WHERE prod_id = {R.LOOKUP_PRODUCT}",
@@ -200,6 +217,11 @@ SQL: dict[str, str] = {
         SELECT id, unnest(string_split_regex(text, '\\s+')) AS word,
                unnest(generate_series(1, len(string_split_regex(text, '\\s+')))) AS pos FROM {PARSED})""",
     "explode_words": f"SELECT * FROM {MSG_WORDS}",
+    "lower_words": f"SELECT id, unnest(string_split_regex(lower(text), '\\s+')) AS word FROM {PARSED}",
+    "message_times": f"""SELECT tweet_id, TRY_STRPTIME(ts, '%Y %m %d %H:%M:%S') AS ts
+        FROM (SELECT id AS tweet_id, created_at_year || ' ' || created_at_month || ' ' || created_at_day || ' ' ||
+                     created_at_time AS ts FROM {PARSED})""",
+    "tweet_clean_from_files": f"SELECT * FROM {CLEAN}",
     "word_polarity": f"SELECT * FROM {WORD_POLARITY}",
     "text_sentiment": f"SELECT * FROM {SENTIMENT}",
     "tweet_bi": f"SELECT * FROM {SCORED}",
@@ -219,13 +241,14 @@ SQL: dict[str, str] = {
         ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT {R.TOP_K}""",
     "group_count_star": "SELECT l_returnflag, l_linestatus, count(*) AS num FROM lineitem GROUP BY ALL",
     # sources / sinks (files are staged from these tables, then read back)
-    "csv_header_scan": """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size,
-        p_retailprice FROM part""",
+    "csv_header_scan": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "tsv_header_scan": "SELECT * FROM nation",
     "tsv_headerless_scan": f"SELECT * FROM {PRODUCTS}",
     "text_scan": f"SELECT {LINES_SQL} AS value FROM {WEBLOG}",
     "glob_scan": f"SELECT date, time, c_ip, sc_status FROM {WEBLOG}",
     "weblog_scan": f"SELECT * FROM {WEBLOG}",
+    "client_errors_from_log": f"""{CLIENT_ERRORS_ALL}
+        ORDER BY cnt DESC, sc_status, cs_referer NULLS FIRST, cs_page NULLS FIRST LIMIT {R.TOP_K}""",
     "skip_lines": "SELECT concat_ws('|', CAST(p_partkey AS VARCHAR), p_name, p_brand) AS value FROM part",
     "csv_sink": topk_breakdown(SOCIAL, R.TOP_K),
 }

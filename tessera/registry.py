@@ -17,13 +17,13 @@ from tessera.functions.predicates import half_open, valid_value
 from tessera.functions.temporal import date_parts
 from tessera.functions.text import clean_text, ngrams, split_words, tokenize
 from tessera.functions.weblog import page_key
-from tessera.operators.partitioning import explode_rows
+from tessera.operators.generators import explode_rows
 from tessera.operators.relational import top_k, union_all
 from tessera.operators.sentiment import message_sentiment, word_polarity
 from tessera.operators.text import context_ngram, ngram_regex_filter
 from tessera.plans import messages, ratings, sensors, social, weblog
 from tessera.sources import readers
-from tessera.sources.schemas import PRODUCTS_SCHEMA, WEBLOG_SCHEMA
+from tessera.sources.schemas import LEXICON_SCHEMA, PART_SCHEMA, PRODUCTS_SCHEMA, WEBLOG_SCHEMA, ZONE_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +34,12 @@ NGRAM_TOP_K = 5
 MIN_RATINGS = 50
 LOOKUP_PRODUCT = 1274673
 CONTEXT_PREFIX = "of the null"
+EXACT_CONTEXT = "null of the"
+REVIEW_PRODUCT = 1274663
 FOURGRAM_PREFIX_REGEX = r"^of the"
 COMMENT_PHRASE = "the and"
 COMMENT_WORD = "red"
 NAME_PHRASE, NAME_BRAND = "red", "Brand#17"
-ZONE_ROWS, LEXICON_ROWS = len(A.ZONE_COUNTRY), len(A.LEXICON)
 
 
 def _t(spark, sf_dir, name):
@@ -115,13 +116,8 @@ def q_hvac_reliability(spark, d):
 
 
 # ---------------------------------------------------------------- ratings (K5/K6)
-def _ratings_by_year(spark, d):
-    docs = _t(spark, d, "documents")
-    return A.ratings_for_year(docs, 2012), A.ratings_for_year(docs, 2013)
-
-
 def _ratings(spark, d):
-    return union_all(*_ratings_by_year(spark, d), by_name=False)
+    return A.ratings(_t(spark, d, "documents"))
 
 
 def _products(spark, d):
@@ -129,16 +125,15 @@ def _products(spark, d):
 
 
 def q_union_all(spark, d):
-    return _ratings(spark, d)
+    docs = _t(spark, d, "documents")
+    return union_all(A.ratings_for_year(docs, 2012), A.ratings_for_year(docs, 2013), by_name=False)
 
 
 def q_table_counts(spark, d):
-    """Row counts of each year's frame and of their union, in one pass."""
-    r12, r13 = _ratings_by_year(spark, d)
-    tagged = union_all(r12.withColumn("_src", F.lit(2012)), r13.withColumn("_src", F.lit(2013)))
-    return tagged.agg(F.count_if(F.col("_src") == 2012).alias("n_2012"),
-                      F.count_if(F.col("_src") == 2013).alias("n_2013"),
-                      F.count(F.lit(1)).alias("n_total"))
+    """Row counts of each year's reviews and of all, in one pass."""
+    year = F.year("posted")
+    return _ratings(spark, d).agg(F.count_if(year == 2012).alias("n_2012"), F.count_if(year == 2013).alias("n_2013"),
+                                  F.count(F.lit(1)).alias("n_total"))
 
 
 def q_rating_extremes(spark, d):
@@ -153,6 +148,11 @@ def q_ngram_frequency_3(spark, d):
     return ratings.product_ngrams(_ratings(spark, d), 3, NGRAM_TOP_K)
 
 
+def q_product_ngrams(spark, d):
+    """The n-gram report of a single product."""
+    return ratings.product_ngrams(_ratings(spark, d), 2, TOP_K, product=REVIEW_PRODUCT, per_product=False)
+
+
 def q_lower_text(spark, d):
     return _ratings(spark, d).select("cust_id", F.lower("message").alias("message_lower"))
 
@@ -179,6 +179,10 @@ def q_context_ngram(spark, d):
     return context_ngram(ratings.review_words(_ratings(spark, d)), CONTEXT_PREFIX)
 
 
+def q_context_ngram_exact(spark, d):
+    return context_ngram(ratings.review_words(_ratings(spark, d)), EXACT_CONTEXT, exact=True)
+
+
 def q_comment_search(spark, d):
     return ratings.comments_with_phrase(_ratings(spark, d), COMMENT_PHRASE).select("prod_id", "cust_id", "message")
 
@@ -209,8 +213,7 @@ def _parsed(spark, d):
 
 
 def _scored(spark, d):
-    return messages.scored_messages(_raw(spark, d), A.zone_map(spark), A.lexicon(spark),
-                                    zone_rows=ZONE_ROWS, lexicon_rows=LEXICON_ROWS)
+    return messages.scored_messages(_raw(spark, d), A.zone_map(spark), A.lexicon(spark))
 
 
 def q_json_parse(spark, d):
@@ -225,7 +228,7 @@ def q_tweet_parse(spark, d):
 
 def q_tz_left_join(spark, d):
     simple = messages.simple_messages(_parsed(spark, d))
-    return messages.with_country(simple, A.zone_map(spark), zone_rows=ZONE_ROWS)
+    return messages.with_country(simple, A.zone_map(spark))
 
 
 def q_split_words(spark, d):
@@ -236,13 +239,20 @@ def q_explode_words(spark, d):
     return messages.message_words(_parsed(spark, d))
 
 
+def q_lower_words(spark, d):
+    return messages.message_words(_parsed(spark, d), lowercase=True)
+
+
+def q_message_times(spark, d):
+    return messages.message_times(_parsed(spark, d))
+
+
 def q_word_polarity(spark, d):
-    return word_polarity(messages.message_words(_parsed(spark, d)), A.lexicon(spark), lexicon_rows=LEXICON_ROWS)
+    return word_polarity(messages.message_words(_parsed(spark, d)), A.lexicon(spark))
 
 
 def q_text_sentiment(spark, d):
-    return message_sentiment(messages.message_words(_parsed(spark, d)), A.lexicon(spark),
-                             lexicon_rows=LEXICON_ROWS)
+    return message_sentiment(messages.message_words(_parsed(spark, d)), A.lexicon(spark))
 
 
 def q_tweet_bi(spark, d):
@@ -261,6 +271,17 @@ def q_clean_text(spark, d):
     return _t(spark, d, "documents").select("doc_id", clean_text("text").alias("message"))
 
 
+def q_tweet_clean_from_files(spark, d):
+    """The message report from files: JSON lines, zone map (TSV with header)
+    and lexicon (TSV without)."""
+    lines = readers.read_lines(spark, A.stage_lines(spark, _raw(spark, d), "messages"))
+    zones = readers.read_tsv(spark, A.stage_delimited(spark, A.zone_map(spark), "zones", sep="\t"), schema=ZONE_SCHEMA)
+    words = readers.read_tsv_headerless(
+        spark, A.stage_delimited(spark, A.lexicon(spark), "lexicon", sep="\t", header=False),
+        LEXICON_SCHEMA.names, schema=LEXICON_SCHEMA)
+    return messages.clean_scored(messages.scored_messages(lines, zones, words))
+
+
 def q_tweet_topk_countries(spark, d):
     """Flagship: JSON messages -> sentiment + country -> top countries."""
     return social.topk_with_breakdown(messages.clean_scored(_scored(spark, d)), k=TOP_K)
@@ -312,7 +333,7 @@ def q_group_count_star(spark, d):
 # ---------------------------------------------------------------- sources / sinks
 def q_csv_header_scan(spark, d):
     path = A.stage_delimited(spark, _t(spark, d, "part"), "part-csv")
-    return readers.read_csv(spark, path, infer=True)
+    return readers.read_csv(spark, path, infer=True).to(PART_SCHEMA)
 
 
 def q_tsv_header_scan(spark, d):
@@ -333,20 +354,26 @@ def q_text_scan(spark, d):
 def q_glob_scan(spark, d):
     lines = A.weblog_lines(_weblog(spark, d))
     path = A.stage_files_with_header(spark, lines, A.W3C_DIRECTIVES, "weblog-glob")
-    return readers.read_w3c_log(spark, f"{path}/f=*/*.txt").select("date", "time", "c_ip", "sc_status")
+    return readers.read_w3c_log(spark, f"{path}/*.txt").select("date", "time", "c_ip", "sc_status")
 
 
 def q_weblog_scan(spark, d):
     lines = A.weblog_lines(_weblog(spark, d))
     path = A.stage_files_with_header(spark, lines, A.W3C_DIRECTIVES, "weblog-files")
-    return readers.read_w3c_log(spark, f"{path}/f=*/*.txt", WEBLOG_SCHEMA)
+    return readers.read_w3c_log(spark, f"{path}/*.txt", WEBLOG_SCHEMA)
+
+
+def q_client_errors_from_log(spark, d):
+    """The client error report from scanned log files."""
+    path = A.stage_files_with_header(spark, A.weblog_lines(_weblog(spark, d)), A.W3C_DIRECTIVES, "weblog-errors")
+    return weblog.client_errors(readers.read_w3c_log(spark, f"{path}/*.txt"), k=TOP_K)
 
 
 def q_skip_lines(spark, d):
     p = _t(spark, d, "part")
     lines = p.select(F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name", "p_brand").alias("value"))
     path = A.stage_files_with_header(spark, lines, ["p_partkey|p_name|p_brand", "---"], "part-lines")
-    return readers.skip_lines(readers.read_lines(spark, f"{path}/f=*/*.txt"), 2)
+    return readers.skip_lines(readers.read_lines(spark, f"{path}/*.txt"), 2)
 
 
 def q_csv_sink(spark, d):

@@ -1,13 +1,18 @@
 """Plan-shape checks for the properties the operators rely on at scale."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
-from tessera.operators.joins import bounded_broadcast
-from tessera.operators.partitioning import ensure_parallelism, explode_rows
+from tessera.adapters import lexicon, zone_map
+from tessera.operators.generators import explode_rows
+from tessera.plans.messages import scored_messages
 from tessera.operators.relational import top_k_per_group
 from tessera.plans.social import topk_with_breakdown
-from tessera.session import shared_path
+from tessera.registry import QUERIES
+from tessera.session import ensure_checkpoint_dir, shared_path
+
+SF = "/root/testdata/sf0.001"
 
 
 def final_plan(df):
@@ -43,13 +48,52 @@ def test_explode_rows_has_no_inferred_prefilter(spark):
     assert plain == ["", "a", "b"]
 
 
-def test_bounded_broadcast_and_spread(spark):
-    small = spark.range(10)
-    assert "broadcast" in bounded_broadcast(small, max_rows=100)._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(1000)
-    assert bounded_broadcast(big, max_rows=100) is big
-    one = spark.range(100).coalesce(1)
-    spread = ensure_parallelism(one, target=4)
-    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
-    many = spark.range(100).repartition(6)
-    assert ensure_parallelism(many, target=4) is many
+def _jobs(spark, name):
+    spark.sparkContext.setJobGroup(f"building {name}", name)
+    try:
+        QUERIES[name](spark, SF)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_query_runs_no_job(spark):
+    # one job reads the footer of each Parquet table that is opened
+    for name, tables in (("hvac_building", 2), ("topk_country_sentiment", 3), ("tweet_clean", 1), ("rating_extremes", 1)):
+        assert _jobs(spark, name) <= tables, name
+
+
+def test_no_forced_single_partition_or_spread(spark):
+    for name in ("hvac_building", "topk_country_sentiment", "comment_search", "tokenize"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" not in plan and "LocalLimit" not in plan.replace("TakeOrdered", ""), name
+
+
+def test_one_scan(spark):
+    for name in ("ngram_frequency_2", "ngram_frequency_3", "rating_extremes", "comment_search", "tokenize", "table_counts",
+                 "tweet_bi", "tweet_clean"):
+        plan = final_plan(QUERIES[name](spark, SF))
+        assert plan.count("FileScan parquet") == 1, name
+        if name.startswith("tweet"):
+            assert plan.count("from_json") == 1, name
+
+
+def test_messages_without_id_are_spread(spark):
+    raw = spark.createDataFrame([(f"{{broken {i}",) for i in range(200)], "value string")
+    groups = scored_messages(raw, zone_map(spark), lexicon(spark))
+    assert groups.count() == 200 and groups.filter("tweet_id IS NOT NULL OR sentiment IS NOT NULL").count() == 0
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
