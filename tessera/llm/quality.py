@@ -28,7 +28,7 @@ from tessera.llm.common import text_bytes
 
 #: Bounds of the labelled sample that reaches the driver: rows of each class,
 #: and bytes of one row (longer rows are not used for fitting; all are scored).
-MAX_ROWS, MAX_BYTES = 1500, 32_768
+MAX_ROWS, MAX_BYTES = 1500, 16_384
 DICT_BYTES, BLOCK, LEVEL = 112_640, 2048, 3
 THRESHOLD = 0.7
 
@@ -99,13 +99,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, train: Column, text_col: str = "t
     """Learn from at most ``2 * max_rows`` rows of each class for which
     ``train`` (over the id column) holds, chosen by a seeded hash of the id:
     one half trains the dictionaries, the other calibrates."""
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).filter(
+        f"length(t) > 0 and octet_length(t) <= {MAX_BYTES}")
     lab = (labels.select(F.col(id_col), F.col(label_col).cast("int").alias("y")).filter(train)
-                 .filter("y in (0, 1)").select(F.col(id_col).alias("id"), "y"))
-    pool = lab.join(d, "id").filter(f"length(t) > 0 and octet_length(t) <= {MAX_BYTES}")
-    order = [F.xxhash64(F.lit(seed), "id"), F.col("id"), F.col("t")]
-    texts = {y: [text_bytes(r.t) for r in pool.filter(F.col("y") == y).orderBy(*order).limit(2 * max_rows).collect()]
-             for y in (0, 1)}
+                 .filter("y in (0, 1)").select(F.col(id_col).alias("id"), "y").distinct())
+    # ids are drawn before any text is read, so only the sample's texts move
+    order = [F.xxhash64(F.lit(seed), "id"), F.col("id")]
+    drawn = [lab.filter(F.col("y") == y).orderBy(*order).limit(2 * max_rows) for y in (0, 1)]
+    pool = d.join(F.broadcast(drawn[0].unionByName(drawn[1])), "id").collect()
+    pool = sorted({(r["y"], r["id"], r["t"]) for r in pool})
+    texts = {y: [text_bytes(t) for k, _, t in pool if k == y][:2 * max_rows] for y in (0, 1)}
     bad, good = texts[0], texts[1]
     n = len(bad) + len(good)
     prior = (len(good) + 1) / (n + 2)
