@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import shared_path
@@ -29,6 +29,11 @@ def persisted(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that none can clash with columns added beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def discard(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by ``persisted`` that no later plan reads."""
     jvm = spark._jvm

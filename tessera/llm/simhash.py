@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, persisted, text_bytes
+from tessera.llm.common import chunks, persisted, text_bytes, whole
 from tessera.llm.graph import components
 
 SHINGLE, DISTANCE, SEED, BUCKET = 3, 2, 42, 32
@@ -120,9 +120,10 @@ def near_duplicate_documents(docs: DataFrame, **options) -> DataFrame:
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents without all but one of each component: the one of the
     smallest doc_id (of equal ids the first row)."""
-    named = persisted(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    groups = near_duplicates(named, key_col="_row", **options).select(F.col("key").alias("_row"), "component")
-    best = (named.select("doc_id", "_row").join(groups, "_row").groupBy("component")
-            .agg(F.min(order).alias("best")).select(F.col("best._row").alias("_row")))
-    return named.join(best, "_row", "left_semi").drop("_row")
+    rows = persisted(docs.select(whole(docs).alias("doc"), F.monotonically_increasing_id().alias("row")), "simhash-rows")
+    ids = rows.select("row", F.col("doc.doc_id").alias("id"), F.col("doc.text").alias("text"))
+    groups = near_duplicates(ids, key_col="row", **options).select(F.col("key").alias("row"), "component")
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    best = (ids.select("id", "row").join(groups, "row").groupBy("component")
+            .agg(F.min(order).alias("best")).select(F.col("best.row").alias("row")))
+    return rows.join(best, "row", "left_semi").select("doc.*")

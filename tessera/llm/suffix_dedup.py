@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, persisted, release, text_bytes
+from tessera.llm.common import discard, persisted, release, text_bytes, whole
 
 LENGTH, WIDTH, BLOCK, BUCKET = 400, 16, 64, 2000
 FREE = 255  # block number of windows without a trigger
@@ -270,8 +270,10 @@ def _whole(classes: DataFrame) -> DataFrame:
 
 
 def _with_spans(docs: DataFrame, **options) -> DataFrame:
+    """(doc, spans): every row as a struct, with its spans (null: none)."""
     spans = repeated_spans(docs, **options)
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(spans.withColumnRenamed("row", "_row"), "_row", "left")
+    rows = docs.select(whole(docs).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    return rows.join(spans, "row", "left").select("doc", "spans")
 
 
 def _cut(data: bytes, spans) -> bytes:
@@ -290,8 +292,8 @@ def digest(docs: DataFrame, **options) -> DataFrame:
     some = F.coalesce("spans", F.array().cast(SPANS))
     size = F.aggregate(some, F.lit(0).cast("bigint"), lambda n, x: n + x["stop"] - x["start"])
     return _with_spans(docs, **options).select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), size.alias("n_removed"),
-        F.size(some).cast("bigint").alias("n_spans"), F.pandas_udf(run, "string")("text", "spans").alias("kept_sha256"))
+        "doc.doc_id", F.coalesce(F.octet_length("doc.text"), F.lit(0)).cast("bigint").alias("n_bytes"), size.alias("n_removed"),
+        F.size(some).cast("bigint").alias("n_spans"), F.pandas_udf(run, "string")("doc.text", "spans").alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
@@ -308,11 +310,13 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
             out.append(_cut(data, [s for s in whole if s["start"] < s["stop"]]).decode("utf-8", "surrogatepass"))
         return pd.Series(out, dtype=object)
 
-    kept = _with_spans(docs, **options).withColumn("text", F.pandas_udf(run, "string")("text", "spans"))
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-                               .otherwise(F.col("n_chars")))
-    return kept.select(docs.columns)
+    kept = _with_spans(docs, **options).withColumn("kept", F.pandas_udf(run, "string")("doc.text", "spans"))
+    own = {c: F.col(f"doc.`{c}`") for c in docs.columns}
+    own["text"] = F.col("kept")
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("kept").isNull(), own["n_chars"]).otherwise(
+            F.length("kept").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*[column.alias(name) for name, column in own.items()])
 
 
 def _next_character(data: bytes, at: int, back: bool = False) -> int:
