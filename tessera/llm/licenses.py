@@ -6,9 +6,9 @@ A window's signature has BANDS minima, one for each permutation of the
 shingles' hashes.  Templates, the license notices below or others given, are
 cut into such windows at every word.  A document window and a template window
 that share a band are a candidate.  With one row a band, windows of Jaccard
-similarity s meet with probability 1 - (1 - s) ** BANDS: 0.99999 at 0.8, 0.996
-at 0.5.  The shortest notice, one shingle, has s = 1/4 with each of the two
-windows that hold it (0.9 each, and 0.99 for either); longer ones have windows
+similarity s meet with probability 1 - (1 - s) ** BANDS: above 0.99998 from 0.5
+on.  The shortest notice, one shingle, has s = 1/4 with each of the two
+windows that hold it (0.99 each, 0.999 or more for either); longer ones have windows
 of their own.  A candidate is verified exactly: the share of the template's shingles,
 compared as text, that stand around the window must be CONTAINED or more.
 
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHINGLE, WINDOW, STRIDE, BANDS, CONTAINED, MAX_WORDS = 5, 8, 2, 8, 0.8, 20_000
+SHINGLE, WINDOW, STRIDE, BANDS, CONTAINED, MAX_WORDS = 5, 8, 2, 16, 0.8, 20_000
 
 # ---------------------------------------------------------------- fixed values
 # Wordings of well-known public licenses' notices.
