@@ -133,7 +133,10 @@ class Forest:
 def fit(vectors: DataFrame, *, rows: int, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF,
         probes: int = PROBES, recall: float = RECALL, k: int = K, seed: int = 5) -> Forest | None:
     """A forest from the ``sample`` rows of least seeded hash (of the most common length)."""
-    got = vectors.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(sample).collect()
+    h = F.xxhash64(F.lit(seed), "id")
+    # by hash first, so that tasks send little more than the sample to the driver
+    some = vectors.filter(F.pmod(h, F.lit(1 << 30)) <= int(min(1.0, 1.5 * sample / max(1, rows)) * (1 << 30)))
+    got = some.orderBy(h, "id").limit(sample).collect()
     if not got:
         return None
     lengths = np.array([len(r["v"]) for r in got])
@@ -198,11 +201,12 @@ def search(embeddings: DataFrame, *, k: int = K, every: int = EVERY, chunk: int
     sizes = persisted(rows.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
                       .withColumn("parts", F.ceil(F.col("n") / chunk).cast("int")).drop("n"), "ann-leaves")
     # the chunk follows the id, so that a recomputed task deals its rows the same way
-    dealt = (rows.join(F.broadcast(sizes) if len(forest.trees) * SAMPLE < 10**6 else sizes, ["tree", "leaf"])
+    sizes = F.broadcast(sizes)  # a row a leaf: fewer than trees * sample
+    dealt = (rows.join(sizes, ["tree", "leaf"])
              .withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).drop("parts"))
     queries = table.filter(F.col("id") % every == 0).mapInPandas(
         probe, "tree int, leaf bigint, q bigint, cut double, qv array<double>")
-    asked = (queries.join(F.broadcast(sizes), ["tree", "leaf"])
+    asked = (queries.join(sizes, ["tree", "leaf"])
              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"))
 
     def rank(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
