@@ -105,6 +105,18 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix64(out)
 
 
+def first_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Position of the first least value (unsigned, 32 bits) in every run of
+    ``width``, from running minima of blocks from both ends."""
+    n = len(values) - width + 1
+    blocks = np.full(-(-len(values) // width) * width, 2**64 - 1, np.uint64)
+    blocks[:len(values)] = (values.astype(np.uint64) << np.uint64(32)) | np.arange(len(values), dtype=np.uint64)
+    grid = blocks.reshape(-1, width)
+    ahead = np.minimum.accumulate(grid, axis=1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(behind[:n], ahead[width - 1:width - 1 + n]) & np.uint64(2**32 - 1)).astype(np.int64)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now: it does so when
     their plans are collected as garbage, which a driver with little to do puts
