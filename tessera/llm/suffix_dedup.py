@@ -23,8 +23,9 @@ array of the corpus would give, built from a dictionary and a parse:
 4. What repeats goes back to the records' documents.
 
 A centre with more than BUCKET classes is not gathered: its windows are grouped
-one by one, by hash, with partial sums.  Windows without any trigger are
-records of one window.  Rows are told apart by their place in the input, which
+one by one, by hash, with partial sums.  Windows without any trigger, as in
+texts that repeat a word, are split at the first of their least hashes
+instead, which their bytes determine as well.  Rows are told apart by their place in the input, which
 must be a table read (so that reading it twice gives the same places).
 
 Defined cases: null text is empty; texts shorter than LENGTH lose nothing;
@@ -43,93 +44,117 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, persisted, release, text_bytes, whole
+from tessera.llm.common import discard, first_minima, persisted, release, text_bytes, whole
 
-LENGTH, WIDTH, BLOCK, BUCKET = 400, 16, 64, 2000
-FREE = 255  # block number of windows without a trigger
+LENGTH, WIDTH, BLOCK, BUCKET, PARSED_BYTES = 400, 16, 64, 2000, 1 << 20
 _TABLE = np.random.Generator(np.random.PCG64(20)).integers(0, 2**32, 256, dtype=np.uint32)
 
 
 # ------------------------------------------------------------------ the parse
-def triggers(data: bytes) -> np.ndarray:
-    """Positions whose 16 bytes hash to a trigger (doubling: 1, 2, 4, 8, 16 bytes)."""
+def rolling_hash(data: bytes) -> np.ndarray:
+    """Hash of the WIDTH bytes from each position on (doubling: 1, 2, 4, 8, 16 bytes)."""
     if len(data) < WIDTH:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint32)
     h, power, step = _TABLE[np.frombuffer(data, np.uint8)], 2654435769, 1
     while step < WIDTH:
         h = h[:-step] * np.uint32(power) + h[step:]
         power, step = power * power % 2**32, 2 * step
     h = h ^ (h >> np.uint32(15))
-    return np.flatnonzero((h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - 6) == 0)
-
-
-def records(data: bytes, length: int = LENGTH) -> np.ndarray:
-    """(t, block, lo, hi) rows: windows that start at t - a for a in lo..hi, a // BLOCK = block;
-    for a block of FREE the one window that starts at t."""
-    n = len(data)
-    if n < length:
-        return np.empty((0, 4), np.int64)
-    t = triggers(data)
-    before = np.concatenate([[-1], t[:-1]]) if len(t) else t
-    lo, hi = np.maximum(0, t + length - n), np.minimum(np.minimum(t - before - 1, length - WIDTH), t)
+    return h * np.uint32(0x85EBCA6B)
+
+
+def _covered(starts: np.ndarray, stops: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of n positions lies in one of the ranges [start, stop)."""
+    return np.cumsum(np.bincount(starts, minlength=n + 1)[:n] - np.bincount(stops, minlength=n + 1)[:n]) > 0
+
+
+def records(data: bytes, ends: list[int], length: int = LENGTH) -> np.ndarray:
+    """(text, t, block, lo, hi) rows over texts that stand one after the other
+    in ``data`` and end at ``ends``: windows that start at t - a for a in
+    lo..hi, a // BLOCK = block."""
+    stop = np.asarray(ends, np.int64)
+    start = np.concatenate([[0], stop[:-1]])
+    some = stop - start >= length
+    if not some.any():
+        return np.empty((0, 5), np.int64)
+    h = rolling_hash(data)
+    t = np.flatnonzero(h >> np.uint32(32 - 6) == 0)
+    text = np.searchsorted(stop, t, side="right")
+    inside = t + WIDTH <= stop[text]
+    t, text = t[inside], text[inside]
+    before = np.maximum(np.concatenate([[-1], t[:-1]]), start[text] - 1) if len(t) else t
+    lo = np.maximum(0, t + length - stop[text])
+    hi = np.minimum(np.minimum(t - before - 1, length - WIDTH), t - start[text])
     used = lo <= hi
-    t, lo, hi = t[used], lo[used], hi[used]
-    first, last = lo // BLOCK, hi // BLOCK
-    many = last - first + 1
+    t, text, lo, hi = t[used], text[used], lo[used], hi[used]
+    windows = _covered(start[some], stop[some] - length + 1, len(data))
+    free = np.flatnonzero(windows & ~_covered(t - hi, t - lo + 1, len(data)))
+    if len(free):  # windows without a trigger are split at the first of their least hashes
+        at = first_minima(h, length - WIDTH + 1)[free]
+        new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (free[1:] != free[:-1] + 1)]))
+        last = np.concatenate([new[1:], [len(free)]]) - 1
+        t, text, lo, hi = (np.concatenate(x) for x in (
+            (t, at[new]), (text, np.searchsorted(stop, at[new], side="right")), (lo, at[new] - free[last]), (hi, at[new] - free[new])))
+    first, end = lo // BLOCK, hi // BLOCK
+    many = end - first + 1
     at = np.repeat(np.arange(len(t)), many)
     block = first[at] + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-    found = np.stack([t[at], block, np.maximum(lo[at], block * BLOCK), np.minimum(hi[at], block * BLOCK + BLOCK - 1)], axis=1)
-    held = np.zeros(n - length + 2, np.int64)  # starts of windows that have a trigger
-    np.add.at(held, t - hi, 1)
-    np.add.at(held, t - lo + 1, -1)
-    free = np.flatnonzero(np.cumsum(held[:-1]) == 0)
-    alone = np.stack([free, np.full(len(free), FREE), np.zeros_like(free), np.zeros_like(free)], axis=1)
-    return np.concatenate([found, alone]) if len(alone) else found
+    return np.stack([text[at], t[at], block, np.maximum(lo[at], block * BLOCK),
+                     np.minimum(hi[at], block * BLOCK + BLOCK - 1)], axis=1)
 
 
-def _centres(data: bytes, rec: np.ndarray, length: int) -> list[tuple[int, int]]:
-    inner = length - BLOCK + 1
-    start = rec[:, 0] - np.where(rec[:, 1] == FREE, 0, rec[:, 1] * BLOCK)
-    return [(s, s + inner) for s in start.tolist()]
+def _parsed(batches: Iterator[pd.DataFrame], length: int) -> Iterator[tuple[pd.DataFrame, bytes, np.ndarray, np.ndarray]]:
+    """(rows, their bytes, where each text starts, records), about a megabyte at a time."""
+    for batch in batches:
+        held, size, first = [], 0, 0
+        for i, text in enumerate(batch["t"]):
+            held.append(text_bytes(text))
+            size += len(held[-1])
+            if size >= PARSED_BYTES or i + 1 == len(batch):
+                ends = np.cumsum([len(x) for x in held])
+                data = b"".join(held)
+                yield batch.iloc[first:i + 1], data, np.concatenate([[0], ends[:-1]]), records(data, ends, length)
+                held, size, first = [], 0, i + 1
 
 
-def _keys(data: bytes, rec: np.ndarray, length: int) -> list[int]:
-    digest = xxhash.xxh3_64_intdigest
-    return [digest(data[s:e], b) for (s, e), b in zip(_centres(data, rec, length), rec[:, 1].tolist(), strict=True)]
+def _centres(rec: np.ndarray) -> list[int]:
+    """Where each record's centre starts; it has length - BLOCK + 1 bytes."""
+    return (rec[:, 1] - rec[:, 2] * BLOCK).tolist()
 
 
-def _signed(keys: list[int]) -> np.ndarray:
+def _keys(data: bytes, rec: np.ndarray, length: int) -> np.ndarray:
+    digest, inner = xxhash.xxh3_64_intdigest, length - BLOCK + 1
+    keys = [digest(data[s:s + inner], b) for s, b in zip(_centres(rec), rec[:, 2].tolist(), strict=True)]
     return np.array(keys, dtype=np.uint64).view(np.int64)
 
 
+def _places(rec: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A record's name within its text."""
+    return (rec[:, 1] - start[rec[:, 0]]) * 256 + rec[:, 2]
+
+
 def _centre_rows(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for row, text in zip(b["row"], b["t"], strict=True):
-                data = text_bytes(text)
-                rec = records(data, length)
-                if len(rec):
-                    yield pd.DataFrame({"key": _signed(_keys(data, rec, length)), "row": row, "at": rec[:, 0] * 256 + rec[:, 1]})
+        for rows, data, start, rec in _parsed(batches, length):
+            yield pd.DataFrame({"key": _keys(data, rec, length), "row": rows["row"].to_numpy()[rec[:, 0]], "at": _places(rec, start)})
     return run
 
 
 def _record_rows(length: int):
     """The records that ``flags`` names, with their sides and a 128-bit class."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for row, text, flags in zip(b["row"], b["t"], b["flags"], strict=True):
-                data = text_bytes(text)
-                rec = records(data, length)
-                rec = rec[np.isin(rec[:, 0] * 256 + rec[:, 1], np.asarray(flags, np.int64))]
-                out = []
-                for (s, e), (t, block, lo, hi), key in zip(_centres(data, rec, length), rec.tolist(),
-                                                           _signed(_keys(data, rec, length)).tolist(), strict=True):
-                    base = 0 if block == FREE else block * BLOCK
-                    left, right = data[t - hi:s], data[e:t + length - lo]
-                    head = bytes([block, lo - base, hi - base])
-                    out.append((key, xxhash.xxh3_128_digest(head + data[t - hi:t + length - lo]), left, right, lo - base, hi - base,
-                                row, t * 256 + block))
-                yield pd.DataFrame(out, columns=["key", "class", "left", "right", "lo", "hi", "row", "at"])
+        digest, inner = xxhash.xxh3_128_digest, length - BLOCK + 1
+        for rows, data, start, rec in _parsed(batches, length):
+            wanted = np.concatenate([np.asarray(f, np.int64) + s * 256 for f, s in zip(rows["flags"], start.tolist(), strict=True)])
+            rec = rec[np.isin(rec[:, 1] * 256 + rec[:, 2], wanted)]
+            base = rec[:, 2] * BLOCK
+            lo, hi = rec[:, 3] - base, rec[:, 4] - base
+            cuts = list(zip((rec[:, 1] - rec[:, 4]).tolist(), _centres(rec), (rec[:, 1] + length - rec[:, 3]).tolist(), strict=True))
+            heads = [bytes(x) for x in np.stack([rec[:, 2], lo, hi], axis=1).tolist()]
+            yield pd.DataFrame({
+                "key": _keys(data, rec, length), "class": [digest(x + data[a:c]) for x, (a, _, c) in zip(heads, cuts, strict=True)],
+                "left": [data[a:b] for a, b, _ in cuts], "right": [data[b + inner:c] for _, b, c in cuts],
+                "lo": lo, "hi": hi, "row": rows["row"].to_numpy()[rec[:, 0]], "at": _places(rec, start)})
     return run
 
 
@@ -215,7 +240,7 @@ def _spans(length: int):
         for at, mask in zip(ats, masks, strict=True):
             at, mask = np.asarray(at, np.int64), np.asarray(mask, np.int64).view(np.uint64)
             block = at % 256
-            origin = at // 256 - np.where(block == FREE, 0, block * BLOCK)
+            origin = at // 256 - block * BLOCK
             rec, a = np.nonzero(np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
             starts = np.unique(origin[rec] - a)
             gap = np.flatnonzero(np.diff(starts) > length)

@@ -52,11 +52,15 @@ def test_equals_brute_force(spark, bucket):
 
 
 def test_every_window_is_recorded_once():
-    for t in texts(9):
-        data = t.encode()
-        for length in (S.LENGTH, 200):
-            starts = sorted(t - a if b != S.FREE else t for t, b, lo, hi in S.records(data, length).tolist() for a in range(lo, hi + 1))
-            assert starts == list(range(max(0, len(data) - length + 1)))
+    data = [x.encode() for x in texts(9)]
+    ends = [sum(map(len, data[:i + 1])) for i in range(len(data))]
+    for length in (S.LENGTH, 200):
+        found = [[] for _ in data]
+        for text, t, b, lo, hi in S.records(b"".join(data), ends, length).tolist():
+            found[text] += [t - a for a in range(lo, hi + 1)]
+            assert lo // S.BLOCK == hi // S.BLOCK == b
+        for x, end, starts in zip(data, ends, found, strict=True):
+            assert sorted(starts) == list(range(end - len(x), end - length + 1))
 
 
 def test_defined_cases(spark, odd, odd_rows, none):
