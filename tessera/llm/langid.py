@@ -17,7 +17,7 @@ least one row in LEAST_SHARE declares, so there are at most that many; the
 text model (LANGUAGES x BUCKETS numbers) is all that is sent to tasks.
 
 A row is accepted if its text has letters and the best language's posterior
-reaches ACCEPT.
+reaches ACCEPT (more likely than not).
 
 Defined cases: a null or empty text, or one without letters, gets the language
 of its other evidence and is rejected; a missing declaration or suffix is a
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import persisted
 
 BUCKETS, LEAST_SHARE = 8192, 1000
-TEXT_WEIGHT, STRENGTH, ACCEPT = 50.0, 20.0, 0.6
+TEXT_WEIGHT, STRENGTH, ACCEPT = 50.0, 20.0, 0.5
 _MIX = np.uint32(2654435761)
 
 
