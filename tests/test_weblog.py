@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tessera.functions.weblog import page_key
 from tessera.plans.weblog import client_errors, referrers_per_day
 from tessera.session import shared_path, local_path
