@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from tessera.session import shared_path
 
-#: Words are runs of anything but the six ASCII blanks.
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -1,5 +1,5 @@
 import corpus_pipeline as C
-from tessera.llm import langid, packing, simhash, suffix_dedup
+from tessera.llm import packing, simhash
 from tessera.llm.common import persisted, read_table
 
 from llm_cases import SF
@@ -37,4 +37,3 @@ def test_odd_and_empty_tables(spark, odd, none):
             docs = persisted(stage(spark, docs, SF), name)
             assert docs.columns == start.columns, name
         C.STAGES[-1][1](spark, docs, SF).collect()
-    assert langid and suffix_dedup
