@@ -298,7 +298,8 @@ def _with_spans(docs: DataFrame, **options) -> DataFrame:
     """(doc, spans): every row as a struct, with its spans (null: none)."""
     spans = repeated_spans(docs, **options)
     rows = docs.select(whole(docs).alias("doc"), F.monotonically_increasing_id().alias("row"))
-    return rows.join(spans, "row", "left").select("doc", "spans")
+    # spans grow with the corpus: planned at every size as the shuffle that it is at scale
+    return rows.join(spans.hint("merge"), "row", "left").select("doc", "spans")
 
 
 def _cut(data: bytes, spans) -> bytes:
