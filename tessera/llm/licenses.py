@@ -24,9 +24,13 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import persisted
+
 SHINGLE, WINDOW, STRIDE, BANDS, CONTAINED, MAX_WORDS = 5, 8, 2, 16, 0.8, 20_000
 
 # ---------------------------------------------------------------- fixed values
@@ -68,24 +72,22 @@ def _texts(words: Column) -> Column:
     return F.array_distinct(F.transform(each, lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
 
 
-def _windows(frame: DataFrame, stride: int) -> DataFrame:
-    """A row a window: ``at`` (first word) and its shingle hashes h0, h1, ...
-    (null beyond the text's end)."""
-    n = WINDOW - SHINGLE + 1
-    pick = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(stride)),
-                       lambda i: F.struct(i.alias("at"), *[F.get("_h", i + j).alias(f"h{j}") for j in range(n)]))
-    # outer: a plain generator makes Spark compute its input twice, once for a filter on its size
-    out = frame.filter("_h IS NOT NULL").select("*", F.explode_outer(pick).alias("_w"))
-    return out.select(*frame.columns, "_w.*").drop("_h")
+def _windows(stride: int) -> Column:
+    """The windows over the shingle hashes ``_h``: structs of ``at`` (first
+    word) and h0, h1, ... (null beyond the text's end)."""
+    return F.transform(F.sequence(F.lit(0), F.size("_h") - 1, F.lit(stride)),
+                       lambda i: F.struct(i.alias("at"), *[F.get("_h", i + j).alias(f"h{j}") for j in range(WINDOW - SHINGLE + 1)]))
 
 
-def _bands() -> list[Column]:
-    """The least of a window's hashes under BANDS permutations x -> (x * m + b) mod 2^31 - 1."""
-    prime, out = 2**31 - 1, []
-    for k in range(BANDS):
-        m, b = pow(48271, 3 * k + 1, prime), pow(69621, 5 * k + 2, prime)
-        out.append(F.least(*[(F.shiftrightunsigned(f"h{j}", 33) * m + b) % prime for j in range(WINDOW - SHINGLE + 1)]))
-    return out
+def _bands(window: Column) -> list[Column]:
+    """The least of a window's hashes under BANDS orders: each starts at one
+    of four places of the hash and flips its bits by a constant of its own.
+    (Plain code: with products and remainders the generated method grows
+    beyond what the JVM compiles, and runs ten times slower.)"""
+    flips = [mixed if mixed < 2**63 else mixed - 2**64 for mixed in
+             ((0x9E3779B97F4A7C15 * (k + 1) ^ 0xD1B54A32D192ED03 * (k * k + 7)) % 2**64 for k in range(BANDS))]
+    return [F.least(*[F.shiftleft(window[f"h{j}"], 8 * (k % 4)).bitwiseXOR(F.lit(x)) for j in range(WINDOW - SHINGLE + 1)])
+            for k, x in enumerate(flips)]
 
 
 def _index(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, list[list[int]]]:
@@ -95,8 +97,8 @@ def _index(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, l
     t = (spark.createDataFrame(list(templates.items()), "license string, text string").withColumn("words", _words("text"))
          .withColumn("_h", _hashes("words")).filter("_h IS NOT NULL").withColumn("wanted", _texts(F.col("words")))
          .select("license", F.size("words").alias("n_words"), "wanted", "_h"))
-    rows = [r for r in _windows(t, 1).select("license", "n_words", "wanted", *[b.alias(f"b{k}") for k, b in enumerate(_bands())])
-            .distinct().collect()]
+    rows = (t.select("license", "n_words", "wanted", F.explode(_windows(1)).alias("w"))
+            .select("license", "n_words", "wanted", *[b.alias(f"b{k}") for k, b in enumerate(_bands(F.col("w")))]).collect())
     entries = sorted({(k, r[f"b{k}"], r["license"], r["n_words"], tuple(r["wanted"])) for r in rows for k in range(BANDS)})
     index = spark.createDataFrame([(*e[:4], list(e[4])) for e in entries],
                                   "band int, value bigint, license string, n_words int, wanted array<string>")
@@ -109,14 +111,18 @@ def scan(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", tem
     the notice; words are runs of ASCII letters and digits): the notices found in each document."""
     index, values = _index(docs.sparkSession, TEMPLATES if templates is None else templates)
     base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), _words(text_col).alias("words"))
-    windows = _windows(base.withColumn("_h", _hashes("words")), STRIDE)
-    bands = _bands()
-    shared = bands[0].isin(values[0])
-    for band, own in zip(bands[1:], values[1:], strict=True):
-        shared = shared | band.isin(own)
+    hashed = base.withColumn("_h", _hashes("words")).filter("_h IS NOT NULL")
+    # window rows carry no text, so that they stay small; the few documents found bring theirs by a join
+    windows = hashed.select("row", F.explode_outer(_windows(STRIDE)).alias("w")).filter("w IS NOT NULL")
+    bands = _bands(F.col("w"))
+    shared = reduce(lambda a, b: a | b, [b.isin(own) for b, own in zip(bands, values, strict=True)], F.lit(False))
     entries = F.array(*[F.struct(F.lit(k).alias("band"), b.alias("value")) for k, b in enumerate(bands)])
-    found = (windows.filter(shared).select("id", "row", "words", "at", F.explode(entries).alias("e"))
-             .join(F.broadcast(index), (F.col("e.band") == F.col("band")) & (F.col("e.value") == F.col("value"))))
+    index = F.broadcast(index)
+    hits = persisted(windows.filter(shared).select("row", F.col("w.at").alias("at"), F.explode(entries).alias("e"))
+                     .join(index, (F.col("e.band") == F.col("band")) & (F.col("e.value") == F.col("value")))
+                     .select("row", "license", "at").distinct(), "license-hits")
+    wanted = F.broadcast(index.select("license", "n_words", "wanted").distinct())
+    found = base.join(hits, "row").join(wanted, "license")
     around = F.slice("words", F.greatest(F.lit(1), F.col("at") + 1 - F.col("n_words")), 2 * F.col("n_words") + WINDOW)
     share = F.size(F.array_intersect("wanted", _texts(F.col("around")))) / F.size("wanted")
     return (found.select("id", "row", "license", "at", "wanted", around.alias("around"))
