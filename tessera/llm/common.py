@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tessera.session import shared_path
 
+TEXT_ROWS = 500
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -25,6 +28,14 @@ def persisted(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, its texts to reach Python TEXT_ROWS at a time: Spark's
+    10,000 rows a batch would put hundreds of megabytes of long texts into
+    each worker.  The setting is the session's and stays."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+    return df
+
+
 def whole(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, so that none can clash with columns added beside it."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

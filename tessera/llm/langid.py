@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import persisted
+from tessera.llm.common import in_small_batches, persisted
 
 BUCKETS, LEAST_SHARE = 8192, 1000
 TEXT_WEIGHT, STRENGTH, ACCEPT = 50.0, 20.0, 0.5
@@ -106,7 +106,7 @@ def learn_text(rows: DataFrame) -> TextModel | None:
         at, bucket = np.nonzero(sums)
         yield pd.DataFrame({"k": at, "bucket": bucket, "n": sums[at, bucket]})
 
-    parts = rows.select("text", "declared").mapInPandas(count, "k int, bucket int, n bigint")
+    parts = in_small_batches(rows.select("text", "declared")).mapInPandas(count, "k int, bucket int, n bigint")
     table = np.zeros((len(languages), BUCKETS))
     for k, bucket, n in parts.groupBy("k", "bucket").agg(F.sum("n")).collect():  # LANGUAGES x BUCKETS rows at most
         table[k, bucket] = n
@@ -119,7 +119,7 @@ def _with_text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([model.evidence(t) for t in texts], dtype=object)
 
-    return rows.withColumn("_ll", F.pandas_udf(run, "array<double>")("_text")).drop("_text")
+    return in_small_batches(rows).withColumn("_ll", F.pandas_udf(run, "array<double>")("_text")).drop("_text")
 
 
 def _shrunk(counts: DataFrame, key: str, size: int, parent: Column, of_language: bool, totals: list[int]) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, persisted
+from tessera.llm.common import chunks, in_small_batches, persisted
 
 #: Ids in a sequence, most ids in a piece of a rest, and pieces in a bucket.
 CAPACITY, PIECE, BUCKET = 2048, 1024, 512
@@ -70,7 +70,7 @@ def pieces(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", c
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return slim.mapInPandas(run, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+    return in_small_batches(slim).mapInPandas(run, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
 
 
 def difference(lengths: list[int], windows: int) -> np.ndarray:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_bytes
+from tessera.llm.common import in_small_batches, text_bytes
 
 #: Bounds of the labelled sample that reaches the driver: rows of each class,
 #: and bytes of one row (longer rows are not used for fitting; all are scored).
@@ -134,7 +134,7 @@ def score(docs: DataFrame, model: CompressionModel, *, text_col: str = "text", i
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return slim.mapInPandas(run, f"id {kind}, n_bytes bigint, score double").withColumnRenamed("id", id_col)
+    return in_small_batches(slim).mapInPandas(run, f"id {kind}, n_bytes bigint, score double").withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks, persisted, text_bytes, whole
+from tessera.llm.common import chunks, in_small_batches, persisted, text_bytes, whole
 from tessera.llm.graph import components
 
 SHINGLE, DISTANCE, SEED, BUCKET = 3, 2, 42, 32
@@ -63,7 +63,8 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc
                 yield pd.DataFrame({"key": b["key"], "fp": [fingerprint(text_bytes(t), shingle) for t in b["t"]]})
 
     kind = docs.schema[key_col].dataType.simpleString()
-    return docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("t")).mapInPandas(run, f"key {kind}, fp bigint")
+    slim = docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("t"))
+    return in_small_batches(slim).mapInPandas(run, f"key {kind}, fp bigint")
 
 
 def _variants(fps: DataFrame) -> DataFrame:

@@ -44,9 +44,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, first_minima, persisted, release, text_bytes, whole
+from tessera.llm.common import discard, first_minima, in_small_batches, persisted, release, text_bytes, whole
 
-LENGTH, WIDTH, BLOCK, BUCKET, PARSED_BYTES = 400, 16, 64, 2000, 1 << 20
+LENGTH, WIDTH, BLOCK, BUCKET, PARSED_BYTES, ORDERED_ROWS = 400, 16, 64, 2000, 1 << 20, 20_000
 _TABLE = np.random.Generator(np.random.PCG64(20)).integers(0, 2**32, 256, dtype=np.uint32)
 
 
@@ -209,17 +209,17 @@ def _order_centres(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         f["n"].to_numpy())
         return pd.DataFrame({"class": f["class"], "mask": mask.view(np.int64)})[mask != 0]
 
-    held: pd.DataFrame | None = None
+    held: list[pd.DataFrame] = []
     for b in batches:
-        f = b if held is None or not len(held) else pd.concat([held, b])
-        if not len(f):
-            continue
-        last = (f["key"] == f["key"].iloc[-1]).to_numpy()
-        held = f[last]
-        if not last.all():
-            yield solve(f[~last])
-    if held is not None and len(held):
-        yield solve(held)
+        held.append(b)
+        if sum(map(len, held)) >= ORDERED_ROWS:
+            f = pd.concat(held)
+            last = (f["key"] == f["key"].iloc[-1]).to_numpy()  # the next batch may hold more of it
+            held = [f[last]]
+            if not last.all():
+                yield solve(f[~last])
+    if sum(map(len, held)):
+        yield solve(pd.concat(held))
 
 
 def _large_centres(classes: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = LEN
     if length < 2 * BLOCK:
         raise ValueError(f"length must be at least {2 * BLOCK}")
     spark = docs.sparkSession
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("t"))
+    texts = in_small_batches(docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("t")))
     long = texts.filter(F.octet_length("t") >= length)
     parsed = persisted(long.mapInPandas(_centre_rows(length), "key bigint, row bigint, at bigint"), "pfp-parse")
     shared = parsed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
