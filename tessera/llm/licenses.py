@@ -2,19 +2,20 @@
 
 Texts are sequences of lower-case ASCII words; windows of WINDOW words (that
 is, WINDOW - 4 five-word shingles) start at every STRIDE-th word and overlap.
-A window's signature has BANDS minima, one for each permutation of the
-shingles' hashes.  Templates, the license notices below or others given, are
-cut into such windows at every word.  A document window and a template window
-that share a band are a candidate.  With one row a band, windows of Jaccard
-similarity s meet with probability 1 - (1 - s) ** BANDS: above 0.99998 from 0.5
-on.  The shortest notice, one shingle, has s = 1/4 with each of the two
-windows that hold it (0.99 each, 0.999 or more for either); longer ones have windows
-of their own.  A candidate is verified exactly: the share of the template's shingles,
-compared as text, that stand around the window must be CONTAINED or more.
+A window's signature has BANDS minima, one for each order of the shingles'
+hashes.  Templates, the license notices below or others given, are cut into
+such windows at every word.  A document window and a template window that share
+a band are a candidate.  With one row a band, windows of Jaccard similarity s
+meet with probability 1 - (1 - s) ** BANDS, above 0.99998 from 0.5 on if the
+orders are independent (bit flips at four places of the hash nearly are).  The
+shortest notice, one shingle, has s = 1/4 with each of the two windows that
+hold it (0.99 each); longer ones have windows of their own.  A candidate is
+verified exactly: the share of the template's shingles, compared as text, that
+stand around the window must be CONTAINED or more.
 
 Templates are a parameter of bounded size (MAX_WORDS words in all), so their
-bands are shipped to every task; documents are never shuffled for the search,
-only their few candidates are.
+bands are shipped to every task; window rows carry no text, and the documents
+of the few candidates bring theirs by a join.
 
 Defined cases: null and empty texts, and texts of less than five words, match
 nothing; a notice that occurs twice is reported once, with its first place and
