@@ -78,3 +78,11 @@ def test_defined_cases(spark, odd, odd_rows, none):
     out = P.pack(odd).collect()
     check(out, texts)
     assert [(r["length"], r["doc_tokens"]) for r in out if r["doc_id"] in (1, 2)] == [(1, 1)] * 2
+
+
+def test_added_tokens_inside_texts():
+    end = "<|endoftext|>"
+    texts = [f"end of page {end} next page", end, f"{end}{end}", f"a {end}b", f"{end} \n{end}  ", "<|endoftext |>", f"<|endof{end}text|>", f"'s{end}'s"]
+    encode = P.bpe_encoder()
+    assert [[*encode(t), 1] for t in texts] == reference_ids(texts)
+    assert 50256 in encode(texts[0])
