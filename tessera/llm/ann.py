@@ -11,9 +11,12 @@ original vectors.
 their nearest sample rows.  Sample rows are sparser than the table, so their
 neighbours lie further off and the table's recall comes out higher.
 
-A query's k-th score among the sample is a safe cutoff (k rows reach it), so
-rows below it are left out before anything is ranked.  Leaves with many rows,
-such as copies of one vector, are cut into chunks of about CHUNK rows.
+A query's k-th score among the sample rows of the leaves it walks is a safe
+cutoff (k rows that it meets reach it), so rows below it are left out before
+anything is ranked; with fewer than k such rows there is none.  A query walks
+on until its leaves hold k sample rows beside itself, if there are as many.
+Leaves with many rows, such as copies of one vector, are cut into chunks of
+about CHUNK rows.
 
 Defined cases: as in the exact search, and zero vectors take no part; vectors
 of another length than the most common one in the sample are scored with no query, and
@@ -98,13 +101,23 @@ class Forest:
                     todo += [(tree.children[node][0], at[~right]), (tree.children[node][1], at[right])]
         return out
 
-    def walk(self, margins: list[np.ndarray], most: int) -> list[tuple[int, int]]:
-        """The first ``most`` (tree, leaf) of one query, nearest planes first, over all trees at once."""
-        queue, found = [(0.0, t, 0) for t in range(len(self.trees))], []
-        while queue and len(found) < most:
+    def members(self) -> list[list[np.ndarray]]:
+        """The sample rows of each tree's leaves."""
+        own = self.leaves_of(self.sample)
+        return [np.split(np.argsort(own[:, t], kind="stable"), np.cumsum(np.bincount(own[:, t], minlength=tree.leaves))[:-1])
+                for t, tree in enumerate(self.trees)]
+
+    def walk(self, margins: list[np.ndarray], most: int, members: list[list[np.ndarray]] | None = None,
+             rows: int = 0) -> list[tuple[int, int]]:
+        """The first ``most`` (tree, leaf) of one query, nearest planes first, over all trees at once;
+        with ``members`` more of them, until they hold ``rows`` sample rows."""
+        queue, found, met = [(0.0, t, 0) for t in range(len(self.trees))], [], set()
+        while queue and (len(found) < most or members is not None and len(met) < rows):
             off, t, node = heapq.heappop(queue)
             if node < 0:
                 found.append((t, -1 - node))
+                if members is not None and len(met) < rows:
+                    met.update(members[t][-1 - node].tolist())
                 continue
             m, (left, right) = float(margins[t][node]), self.trees[t].children[node]
             heapq.heappush(queue, (max(off, m), t, left))
@@ -183,6 +196,7 @@ def search(embeddings: DataFrame, *, k: int = K, every: int = EVERY, chunk: int
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shipped.value
+        members = own.members()
         for batch in batches:
             batch = batch[batch["v"].map(len) == width]
             for i in range(0, len(batch), 256):
@@ -190,12 +204,15 @@ def search(embeddings: DataFrame, *, k: int = K, every: int = EVERY, chunk: int
                 q, ids = _stack(b["v"], width), b["id"].to_numpy()
                 score = q @ own.sample.T
                 score[ids[:, None] == own.sample_ids[None]] = -np.inf
-                cut = np.partition(score, -k, axis=1)[:, -k] - 1e-9 if score.shape[1] >= k else np.full(len(b), -np.inf)
                 margins = own.margins(q)
                 for j in range(len(b)):
-                    walk = own.walk([m[j] for m in margins], own.leaves)
+                    walk = own.walk([m[j] for m in margins], own.leaves, members, k + 1)  # one may be the query itself
+                    met = np.zeros(score.shape[1], bool)
+                    met[np.concatenate([members[t][x] for t, x in walk])] = True
+                    near = score[j, met]
+                    cut = np.partition(near, -k)[-k] - 1e-9 if len(near) >= k else -np.inf
                     yield pd.DataFrame({"tree": [t for t, _ in walk], "leaf": [x for _, x in walk], "q": ids[j],
-                                        "cut": cut[j], "qv": [q[j]] * len(walk)})
+                                        "cut": cut, "qv": [q[j]] * len(walk)})
 
     rows = table.mapInPandas(index, "tree int, leaf bigint, id bigint, v array<double>")
     sizes = persisted(rows.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))

@@ -58,3 +58,13 @@ def test_defined_cases(spark):
     assert ann.search(df.limit(0)).collect() == []
     one = spark.createDataFrame([(0, [1.0], 0)], VECTORS)
     assert ann.search(one).collect() == []
+
+
+def test_every_query_gets_k_rows(spark):
+    """Also where the sample is the whole table and the forest misses some of the nearest."""
+    df = read_table(spark, "/root/testdata/sf0.1", "embeddings")
+    rows = {r["vec_id"]: r["embedding"] for r in df.collect()}
+    for options in ({}, {"recall": 0.5}):
+        want, got = exact(rows, ann.EVERY, ann.K), found(ann.search(df, **options))
+        assert set(want) == set(got) and all(len(v) == ann.K for v in got.values())
+    assert any({i for i, _ in want[q]} != {i for i, _ in got[q]} for q in want)
