@@ -12,9 +12,11 @@ Four pieces of evidence are combined, as sums of logarithms over the languages:
   domain's, and that towards all rows'.
 
 The tables of the last three come from one grouped count of (host, suffix,
-declared, language by text).  Languages are the declared primary tags that at
-least one row in LEAST_SHARE declares, so there are at most that many; the
-text model (LANGUAGES x BUCKETS numbers) is all that is sent to tasks.
+declared, language by text).  Languages are the declared primary tags that
+LEAST_ROWS rows, or one row in LEAST_SHARE, declare; there are no more of them
+than tags of two or three letters.  The text model (LANGUAGES x BUCKETS numbers)
+is all that is sent to tasks.  It is smoothed by the trigrams of all declared
+rows, so that a language of few rows draws only texts like its own.
 
 A row is accepted if its text has letters and the best language's posterior
 reaches ACCEPT (more likely than not).
@@ -38,7 +40,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import in_small_batches, persisted
 
-BUCKETS, LEAST_SHARE = 8192, 1000
+BUCKETS, LEAST_ROWS, LEAST_SHARE = 8192, 3, 1000
+SMOOTH = BUCKETS / 2
 TEXT_WEIGHT, STRENGTH, ACCEPT = 50.0, 20.0, 0.5
 _MIX = np.uint32(2654435761)
 
@@ -77,7 +80,8 @@ class TextModel:
     """log P(trigram | language), languages in order."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
-        smooth = counts + 0.5
+        every = counts.sum(axis=0) + 0.5
+        smooth = counts + SMOOTH * every / every.sum()
         self.languages, self.table = languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)).T
 
     def evidence(self, text: str) -> np.ndarray | None:
@@ -89,22 +93,23 @@ class TextModel:
 
 
 def learn_text(rows: DataFrame) -> TextModel | None:
-    """From every row of (text, declared) that declares a frequent language."""
+    """From every row of (text, declared) that declares a language."""
     shares = rows.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).filter("declared IS NOT NULL")
     total = shares.agg(F.sum("n")).first()[0] or 0
-    languages = sorted(r[0] for r in shares.filter(F.col("n") * LEAST_SHARE >= total).select("declared").collect())
+    languages = sorted(r[0] for r in shares.filter((F.col("n") >= LEAST_ROWS) | (F.col("n") * LEAST_SHARE >= total)).select("declared").collect())
     if not languages:
         return None
     place = {k: i for i, k in enumerate(languages)}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(place), BUCKETS), np.int64)
+        sums: dict[int, np.ndarray] = {}  # of the languages that this task meets
         for b in batches:
             for text, tag in zip(b["text"], b["declared"], strict=True):
                 if tag in place and (c := trigram_counts(text)) is not None:
-                    sums[place[tag]] += c
-        at, bucket = np.nonzero(sums)
-        yield pd.DataFrame({"k": at, "bucket": bucket, "n": sums[at, bucket]})
+                    sums[place[tag]] = sums.get(place[tag], 0) + c
+        for k, own in sums.items():
+            at = np.flatnonzero(own)
+            yield pd.DataFrame({"k": k, "bucket": at, "n": own[at]})
 
     parts = in_small_batches(rows.select("text", "declared")).mapInPandas(count, "k int, bucket int, n bigint")
     table = np.zeros((len(languages), BUCKETS))
