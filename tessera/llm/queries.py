@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, exact_topk, langid, licenses, mixing, packing, passages, quality, simhash, suffix_dedup
+from tessera.llm import ann, exact_topk, langid, licenses, mixing, packing, passages, pieces, quality, simhash, suffix_dedup
 from tessera.llm.common import read_table
 
 
@@ -50,9 +50,14 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op6_license_scan, op7_compact_windows,
-                              op8_compression_quality, op9_mix_sources, op10_pack)}
+                              op8_compression_quality, op9_mix_sources, op10_pack,
+                              op12_sentencepiece)}
 
 #: Vectors are cut into integer components and every query meets every other row.
 _OP2 = """
