@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, exact_topk, langid, licenses, mixing, packing, passages, pieces, quality, simhash, suffix_dedup
+from tessera.llm import ann, exact_topk, langid, licenses, mixing, packing, passages, pieces, prefix_trie, quality, simhash, suffix_dedup
 from tessera.llm.common import read_table
 
 
@@ -50,6 +50,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read_table(spark, sf_dir, "documents"))
 
@@ -57,7 +61,7 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op6_license_scan, op7_compact_windows,
                               op8_compression_quality, op9_mix_sources, op10_pack,
-                              op12_sentencepiece)}
+                              op11_prefix_trie, op12_sentencepiece)}
 
 #: Vectors are cut into integer components and every query meets every other row.
 _OP2 = """
@@ -98,4 +102,27 @@ SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN before + si
 FROM o
 """
 
-SQL: dict[str, str] = {"op2_exact_topk": _OP2, "op9_mix_sources": _OP9}
+#: Conversations are whole lists of turns here, and a node is the list of its first ones.
+_OP11 = """
+WITH t AS (SELECT conv_id AS c, {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS m,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+     s AS (SELECT c, list(m ORDER BY p) AS v FROM t GROUP BY c),
+     k AS (SELECT *, xor(list_reduce(string_split(CAST(c AS VARCHAR), ''),
+                  lambda crc, ch: list_reduce(range(8), lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END,
+                                              xor(crc, ascii(ch)::BIGINT)), 4294967295), 4294967295) % 9 AS h
+           FROM (SELECT c, v FROM s)),
+     q AS (SELECT k.c, list_concat(coalesce(b.v[1:k.h], []), k.v[k.h + 1:]) AS v FROM k LEFT JOIN s b ON b.c = k.c - k.c % 5),
+     e AS (SELECT c, len(v) AS n, v, unnest(range(len(v) + 1)) AS d FROM q),
+     n AS (SELECT d, v[1:d] AS k, min(c) AS conv_id, count(*) AS n_convs, count(DISTINCT CASE WHEN n > d THEN v[1:d + 1] END) AS n_children,
+                  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+           FROM e GROUP BY ALL),
+     below AS (SELECT x.d, x.k, count(*) FILTER (y.n_children = 0) AS n_leaves,
+                      sum((y.n_convs - 1) * CASE WHEN y.d = 0 THEN 0 ELSE strlen(y.k[y.d].x) END)::BIGINT AS saved_tokens
+               FROM n x JOIN n y ON y.d >= x.d AND y.k[1:x.d] = x.k GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, below.n_leaves, below.saved_tokens, n.ends_sha256
+FROM n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]
+"""
+
+SQL: dict[str, str] = {"op2_exact_topk": _OP2, "op9_mix_sources": _OP9, "op11_prefix_trie": _OP11}
