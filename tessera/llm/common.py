@@ -19,12 +19,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def persisted(df: DataFrame, name: str) -> DataFrame:
+def persisted(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back:
     cuts the lineage, survives lost executors, and computes ``df`` one time
-    only (``checkpoint()`` would run an eager count and then a second job)."""
+    only (``checkpoint()`` would run an eager count and then a second job).
+    ``by``: a column whose values are written and read apart."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, exact_topk, langid, licenses, mixing, packing, passages, pieces, prefix_trie, quality, simhash, suffix_dedup
+from tessera.llm import ann, collocations, exact_topk, langid, licenses, mixing, packing, passages, pieces, prefix_trie, quality, simhash, suffix_dedup
 from tessera.llm.common import read_table
 
 
@@ -58,10 +58,14 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_topk, op3_language_id, op4_simhash, op5_ann_forest, op6_license_scan, op7_compact_windows,
                               op8_compression_quality, op9_mix_sources, op10_pack,
-                              op11_prefix_trie, op12_sentencepiece)}
+                              op11_prefix_trie, op12_sentencepiece, op13_collocations)}
 
 #: Vectors are cut into integer components and every query meets every other row.
 _OP2 = """
@@ -125,4 +129,29 @@ SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_chil
 FROM n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]
 """
 
-SQL: dict[str, str] = {"op2_exact_topk": _OP2, "op9_mix_sources": _OP9, "op11_prefix_trie": _OP11}
+#: All phrases of all lengths are counted at once here.
+_OP13 = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+     m AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS m FROM w),
+     g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM m),
+     f AS (SELECT lang, m, phrase, count(*) AS c FROM g GROUP BY ALL),
+     t AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+     a AS (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND c >= 30),
+     inner_m AS (SELECT lang, a, w, m, unnest(range(2, m)) AS s FROM a),
+     inside AS (SELECT lang, phrase, max(a) AS above
+                FROM (SELECT lang, a, unnest(list_transform(range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase FROM inner_m)
+                GROUP BY ALL),
+     k AS (SELECT a.*, unnest(range(1, a.m)) AS k FROM a LEFT JOIN inside USING (lang, phrase)
+           WHERE above IS NULL OR 100::HUGEINT * above < 80::HUGEINT * a.a),
+     cut AS (SELECT k.lang, k.phrase, k.a, k.k, l.c AS l, r.c AS r, (2000000::HUGEINT * k.a) // (l.c + r.c) AS score
+             FROM k JOIN f l ON l.lang = k.lang AND l.m = k.k AND l.phrase = array_to_string(k.w[1:k.k], ' ')
+                    JOIN f r ON r.lang = k.lang AND r.m = k.m - k.k AND r.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+     weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score::BIGINT AS score
+FROM weakest JOIN t USING (lang) QUALIFY rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op2_exact_topk": _OP2, "op9_mix_sources": _OP9, "op11_prefix_trie": _OP11, "op13_collocations": _OP13}
