@@ -124,6 +124,16 @@ def weblog_lines(logs: DataFrame) -> DataFrame:
     return logs.select(F.concat_ws(" ", *fields).alias("value"))
 
 
+def dirty_weblog_lines(logs: DataFrame) -> DataFrame:
+    """Log lines of which some are cut short, some have a field too many and
+    some a word where a number belongs (beside the missing byte counts)."""
+    taken = F.col("time_taken")
+    value = F.col("value")
+    lines = logs.select("time_taken", F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in logs.columns]).alias("value"))
+    return lines.select(F.when(taken % 107 == 5, F.substring_index(value, " ", 6)).when(taken % 109 == 6, F.concat(value, F.lit(" more")))
+                         .when(taken % 113 == 7, F.regexp_replace(value, " 80 ", " http ")).otherwise(value).alias("value"))
+
+
 def hvac_readings(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.when(F.col("l_orderkey") % 53 == 0, F.lit(None).cast("bigint"))
@@ -157,6 +167,14 @@ def ratings_for_year(documents: DataFrame, year: int) -> DataFrame:
     return r.filter(F.year("posted") == year)
 
 
+def with_written_ratings(reviews: DataFrame) -> DataFrame:
+    """The reviews with ratings as text, of which some are no number."""
+    rating = F.col("rating").cast("string")
+    written = (F.when(F.col("cust_id") % 17 == 3, F.concat(rating, F.lit(" stars"))).when(F.col("cust_id") % 19 == 4, "n/a")
+                .when(F.col("cust_id") % 23 == 5, F.lit(None).cast("string")).otherwise(rating))
+    return reviews.withColumn("rating", written)
+
+
 def products(part: DataFrame) -> DataFrame:
     return part.select(
         (F.lit(PRODUCT_ID_BASE) + F.col("p_partkey")).alias("prod_id"),

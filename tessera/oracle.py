@@ -153,6 +153,14 @@ SQL: dict[str, str] = {
             WHERE sc_status >= 200 AND sc_status < 300)
       GROUP BY ALL ORDER BY cnt DESC, year NULLS FIRST, month NULLS FIRST, day NULLS FIRST,
         cs_referer NULLS FIRST LIMIT {R.TOP_K}""",
+    "log_table": f"""SELECT TRY_CAST(date AS DATE) AS day, count(*) AS requests,
+        count(*) FILTER (sc_status >= 400 AND sc_status < 500) AS client_errors, count(DISTINCT c_ip) AS ips,
+        CAST(sum(sc_bytes) AS BIGINT) AS bytes
+      FROM {WEBLOG} WHERE dayofweek(TRY_CAST(date AS DATE)) IN (0, 6) GROUP BY ALL""",
+    # a sketch of so few visitors is exact
+    "distinct_visitors": f"""SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, count(DISTINCT c_ip) AS visitors,
+        count(DISTINCT c_ip) AS estimate, TRUE AS inside_bound
+      FROM (SELECT TRY_CAST(date AS DATE) AS d, c_ip FROM {WEBLOG}) GROUP BY ALL""",
     "range_filter": f"SELECT * FROM {WEBLOG} WHERE sc_status >= 400 AND sc_status < 500",
     "page_key": f"SELECT cs_uristem, cs_uriquery, {PAGE} AS cs_page FROM {WEBLOG}",
     "date_parts": f"""SELECT date, CAST(year(TRY_CAST(date AS DATE)) AS INTEGER) AS year,
@@ -167,6 +175,10 @@ SQL: dict[str, str] = {
         FROM {HVAC_BUILDING} GROUP BY Country, HVACproduct""",
     # ratings / text
     "union_all": f"SELECT * FROM {R2012} UNION ALL SELECT * FROM {R2013}",
+    "union_clashing": f"""SELECT *, 0 AS clashes FROM {R2012} UNION ALL
+        SELECT posted, cust_id, prod_id, TRY_CAST(w AS INTEGER) AS rating, message, CASE WHEN w IS NOT NULL AND TRY_CAST(w AS INTEGER) IS NULL THEN 1 ELSE 0 END
+        FROM (SELECT *, CASE WHEN cust_id % 17 = 3 THEN rating || ' stars' WHEN cust_id % 19 = 4 THEN 'n/a' WHEN cust_id % 23 = 5 THEN NULL
+                             ELSE CAST(rating AS VARCHAR) END AS w FROM {R2013})""",
     "table_counts": f"""SELECT (SELECT count(*) FROM {R2012}) AS n_2012, (SELECT count(*) FROM {R2013}) AS n_2013,
         (SELECT count(*) FROM {RATINGS}) AS n_total""",
     "rating_extremes": f"""WITH rated AS (SELECT prod_id, avg(rating) AS avg_rating, count(*) AS num
@@ -184,6 +196,10 @@ SQL: dict[str, str] = {
           SELECT prod_id, unnest({grams('words', 3)}) AS ngram FROM {WORDS} WHERE len(words) >= 3)
         GROUP BY ALL)
       QUALIFY row_number() OVER (PARTITION BY prod_id ORDER BY estfrequency DESC, ngram) <= {R.NGRAM_TOP_K}""",
+    "ngram_estimates": f"""WITH g AS (SELECT ngram, count(*) AS estfrequency FROM (
+          SELECT unnest({grams('words', 2)}) AS ngram FROM {WORDS} WHERE len(words) >= 2) GROUP BY ngram)
+      SELECT ngram, estfrequency, TRUE AS inside_bounds FROM g
+      WHERE estfrequency * {R.NGRAM_SHARE} >= (SELECT sum(estfrequency) FROM g)""",
     "lower_text": f"SELECT cust_id, lower(message) AS message_lower FROM {RATINGS}",
     "tokenize": f"""SELECT cust_id, CAST(pos - 1 AS INTEGER) AS pos, token FROM (
         SELECT cust_id, unnest(words) AS token, unnest(generate_series(1, len(words))) AS pos FROM {WORDS})""",
@@ -249,6 +265,9 @@ SQL: dict[str, str] = {
     "weblog_scan": f"SELECT * FROM {WEBLOG}",
     "client_errors_from_log": f"""{CLIENT_ERRORS_ALL}
         ORDER BY cnt DESC, sc_status, cs_referer NULLS FIRST, cs_page NULLS FIRST LIMIT {R.TOP_K}""",
+    "quarantine": f"""SELECT CASE WHEN time_taken % 107 = 5 THEN 'too few fields' WHEN time_taken % 109 = 6 THEN 'too many fields'
+          WHEN time_taken % 113 = 7 THEN 'bad value: s_port' WHEN cs_bytes IS NULL THEN 'bad value: cs_bytes' END AS reason, count(*) AS n
+      FROM {WEBLOG} GROUP BY ALL""",
     "skip_lines": "SELECT concat_ws('|', CAST(p_partkey AS VARCHAR), p_name, p_brand) AS value FROM part",
     "csv_sink": topk_breakdown(SOCIAL, R.TOP_K),
 }

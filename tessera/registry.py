@@ -19,10 +19,13 @@ from tessera.functions.text import clean_text, ngrams, split_words, tokenize
 from tessera.functions.weblog import page_key
 from tessera.operators.generators import explode_rows
 from tessera.operators.relational import top_k, union_all
+from tessera.operators.sketches import (distinct_sketches, estimate, estimated_ngrams, merge_sketches,
+                                        relative_bound)
 from tessera.operators.sentiment import message_sentiment, word_polarity
-from tessera.operators.text import context_ngram, ngram_regex_filter
+from tessera.operators.text import context_ngram, ngram_counts, ngram_regex_filter
 from tessera.plans import messages, ratings, sensors, social, weblog
-from tessera.sources import readers
+from tessera.session import shared_path
+from tessera.sources import readers, rejects, tables
 from tessera.sources.schemas import LEXICON_SCHEMA, PART_SCHEMA, PRODUCTS_SCHEMA, WEBLOG_SCHEMA, ZONE_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +42,7 @@ REVIEW_PRODUCT = 1274663
 FOURGRAM_PREFIX_REGEX = r"^of the"
 COMMENT_PHRASE = "the and"
 COMMENT_WORD = "red"
+NGRAM_SHARE = 2000
 NAME_PHRASE, NAME_BRAND = "red", "Brand#17"
 
 
@@ -97,6 +101,36 @@ def q_date_parts(spark, d):
     return _weblog(spark, d).select("date", *[c.alias(n) for n, c in date_parts("date").items()])
 
 
+WEEKEND_SQL = """
+SELECT /*+ BROADCAST(c) */ l.day, count(*) AS requests, count_if(l.sc_status >= 400 AND l.sc_status < 500) AS client_errors,
+       count(DISTINCT l.c_ip) AS ips, sum(l.sc_bytes) AS bytes
+FROM {logs} l JOIN {calendar} c ON l.day = c.day
+WHERE c.weekday IN (1, 7)
+GROUP BY l.day
+"""
+
+
+def q_log_table(spark, d):
+    """Weekend traffic by SQL text over the log table; a calendar day is a
+    row, so the calendar is broadcast and prunes the days that are read."""
+    logs = _weblog(spark, d)
+    path = tables.write_log_table(logs, shared_path(spark, "log-table"))
+    days = _t(spark, d, "events").select(F.to_date("ts").alias("day"))
+    return spark.sql(WEEKEND_SQL, logs=tables.open_log_table(spark, path, logs.schema), calendar=tables.calendar(days))
+
+
+def q_distinct_visitors(spark, d):
+    """Visitors a month: daily sketches merged, beside the exact count."""
+    dated = _weblog(spark, d).withColumns(date_parts("date"))
+    path = shared_path(spark, "visitor-sketches")
+    distinct_sketches(dated, ["year", "month", "day"], "c_ip").write.parquet(path)
+    merged = merge_sketches(spark.read.parquet(path), ["year", "month"]).withColumn("estimate", estimate())
+    exact = dated.groupBy("year", "month").agg(F.count_distinct("c_ip").alias("visitors"))
+    same = F.col("e.year").eqNullSafe(F.col("x.year")) & F.col("e.month").eqNullSafe(F.col("x.month"))
+    off = F.abs(F.col("estimate") - F.col("visitors")) <= F.lit(relative_bound()) * F.col("visitors")
+    return exact.alias("x").join(merged.alias("e"), same).select("x.year", "x.month", "visitors", "estimate", off.alias("inside_bound"))
+
+
 # ---------------------------------------------------------------- sensors (K4)
 def _hvac(spark, d):
     return A.hvac_readings(_t(spark, d, "lineitem")), A.buildings(_t(spark, d, "part"))
@@ -129,6 +163,13 @@ def q_union_all(spark, d):
     return union_all(A.ratings_for_year(docs, 2012), A.ratings_for_year(docs, 2013), by_name=False)
 
 
+def q_union_clashing(spark, d):
+    """Two years whose ratings are of different types, brought to one schema."""
+    docs = _t(spark, d, "documents")
+    first, second = A.ratings_for_year(docs, 2012), A.ratings_for_year(docs, 2013)
+    return union_all(first, A.with_written_ratings(second), schema=first.schema, clash_col="clashes")
+
+
 def q_table_counts(spark, d):
     """Row counts of each year's reviews and of all, in one pass."""
     year = F.year("posted")
@@ -153,6 +194,18 @@ def q_product_ngrams(spark, d):
     return ratings.product_ngrams(_ratings(spark, d), 2, TOP_K, product=REVIEW_PRODUCT, per_product=False)
 
 
+def q_ngram_estimates(spark, d):
+    """Bigrams that are one in NGRAM_SHARE or more: exact count, and whether
+    the bounds of the estimate hold it.  (The counters are few on purpose.)"""
+    words = ratings.review_words(_ratings(spark, d))
+    found = estimated_ngrams(words, 2, capacity=10 * NGRAM_SHARE)
+    exact = ngram_counts(words, 2)
+    total = exact.agg(F.sum("estfrequency").alias("n"))
+    heavy = exact.join(F.broadcast(total), F.col("estfrequency") * NGRAM_SHARE >= F.col("n"))
+    inside = F.col("estfrequency").between(F.col("at_least"), F.col("at_most"))
+    return heavy.join(found, "ngram", "left").select("ngram", "estfrequency", F.coalesce(inside, F.lit(False)).alias("inside_bounds"))
+
+
 def q_lower_text(spark, d):
     return _ratings(spark, d).select("cust_id", F.lower("message").alias("message_lower"))
 
@@ -376,6 +429,16 @@ def q_skip_lines(spark, d):
     return readers.skip_lines(readers.read_lines(spark, f"{path}/*.txt"), 2)
 
 
+def q_quarantine(spark, d):
+    """How many log lines are good, and why the others are not; from one pass over the files."""
+    lines = A.dirty_weblog_lines(_weblog(spark, d))
+    path = A.stage_files_with_header(spark, lines, A.W3C_DIRECTIVES, "weblog-dirty")
+    scan = rejects.scan_delimited(spark, f"{path}/*.txt", WEBLOG_SCHEMA, sep=" ", comment="#")
+    good, bad = rejects.quarantine(scan, shared_path(spark, "quarantine"))
+    kept = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("reason"), "n")
+    return kept.unionByName(rejects.reject_counts(bad))
+
+
 def q_csv_sink(spark, d):
     result = social.topk_with_breakdown(_social(spark, d), k=TOP_K)
     path = A.stage_delimited(spark, result, "topk-sink")
