@@ -242,3 +242,8 @@ W3C_DIRECTIVES = ["#Software: Microsoft Internet Information Services 8.0", "#Ve
                   "#Fields: date time s-sitename cs-method cs-uri-stem cs-uri-query s-port cs-username "
                   "c-ip cs(User-Agent) cs(Cookie) cs(Referer) cs-host sc-status sc-substatus "
                   "sc-win32-status sc-bytes cs-bytes time-taken"]
+
+
+def w3c_directives(columns: list[str]) -> list[str]:
+    """The head of a log file with these fields."""
+    return [*W3C_DIRECTIVES[:2], "#Fields: " + " ".join(columns)]

@@ -126,3 +126,61 @@ def context_ngram(df: DataFrame, context: str | Iterable[str | None], input_col:
         rows = rows.filter(F.col(out_col).rlike(asked.regex()))
     return (rows.groupBy(out_col).agg(F.count(F.lit(1)).alias(count_col))
                 .orderBy(F.col(count_col).desc(), F.col(out_col)))
+
+
+# Contexts that one scan looks for; they are shipped to every task.
+MAX_CONTEXTS = 100_000
+
+
+def _anchor(asked: Context, exact: bool) -> tuple[int, int, str]:
+    """(place, length, text) of the token that a context is looked up by: its
+    first literal.  Length -1 is the whole token; a literal at the end of a
+    context is also found as the beginning of a token, and a context without
+    literals as the empty beginning of any."""
+    at = next((i for i, t in enumerate(asked.tokens) if t is not None), 0)
+    token = asked.tokens[at]
+    if token is None:
+        return 0, 0, ""
+    return (at, -1, token) if exact or at < len(asked.tokens) - 1 else (at, len(token), token)
+
+
+def context_ngrams(df: DataFrame, contexts: Iterable[str | Sequence[str | None]], input_col: str = "words", context_col: str = "context",
+                   out_col: str = "ngram", count_col: str = "estfrequency", exact: bool = False) -> DataFrame:
+    """(context, ngram, estfrequency) of many contexts in one scan: for each
+    what ``context_ngram`` gives for it alone, under its tokens joined by
+    blanks.  Contexts that are equal count once.
+
+    Only tokens that some context is looked up by leave their text, each with
+    the few around it; they meet their contexts in a broadcast join (at most
+    MAX_CONTEXTS rows) and the other tokens are compared by position."""
+    asked = {c.tokens: c for c in map(Context.of, contexts)}
+    if not asked or len(asked) > MAX_CONTEXTS:
+        raise ValueError(f"between 1 and {MAX_CONTEXTS} contexts can be looked for in one scan")
+    rows = [(" ".join(WILDCARD if t is None else t for t in c.tokens), list(c.tokens), *_anchor(c, exact), c.regex()) for c in asked.values()]
+    table = df.sparkSession.createDataFrame(rows, "context string, tokens array<string>, place int, length int, text string, regex string")
+    ahead = max(r[2] for r in rows)
+    behind = max(len(r[1]) - r[2] for r in rows)
+    words = F.col(input_col)
+
+    def found(length: int) -> Column:
+        """Where a token's beginning of ``length`` (-1: the whole token) is that of a context."""
+        texts = sorted({r[4] for r in rows if r[3] == length})
+        text = (lambda t: t) if length < 0 else (lambda t: F.substring(t, 1, length))
+        hits = F.transform(words, lambda t, i: F.struct(F.lit(length).alias("length"), text(t).alias("text"), i.alias("i")))
+        return F.filter(hits, lambda x: x["text"].isin(texts)) if length else hits
+
+    hits = F.concat(*[found(length) for length in sorted({r[3] for r in rows})])
+    start = lambda x: F.greatest(x["i"] - ahead, F.lit(0))
+    near = F.transform(hits, lambda x: F.struct(x["length"].alias("length"), x["text"].alias("text"), (x["i"] - start(x)).alias("at"),
+                                                F.slice(words, start(x) + 1, ahead + behind).alias("around")))
+    held = explode_rows(df, near, "hit").select("hit.*").join(F.broadcast(table), ["length", "text"])
+    begin, size = F.col("at") - F.col("place"), F.size("tokens")
+    gram = held.filter((begin >= 0) & (begin + size <= F.size("around"))).select(
+        "context", "tokens", "regex", F.slice("around", F.greatest(begin, F.lit(0)) + 1, size).alias("gram"))
+    last = F.size("tokens") - 1
+    same = F.forall(F.sequence(F.lit(0), last), lambda j: F.get("tokens", j).isNull() | (F.get("tokens", j) == F.get("gram", j))
+                    | (F.lit(not exact) & (j == last) & F.startswith(F.get("gram", j), F.get("tokens", j))))
+    fits = gram.filter(same).select("context", "regex", F.array_join("gram", " ").alias(out_col))
+    if not exact:
+        fits = fits.filter(F.rlike(F.col(out_col), F.col("regex")))
+    return fits.groupBy(F.col("context").alias(context_col), out_col).agg(F.count(F.lit(1)).alias(count_col))

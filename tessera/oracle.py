@@ -217,6 +217,15 @@ SQL: dict[str, str] = {
                                                  lambda i: words[i + 1] = 'of' AND words[i + 2] = 'the'),
                                      lambda i: array_to_string(words[i:i + 2], ' '))) AS ngram
         FROM {WORDS} WHERE len(words) >= 3) GROUP BY ngram""",
+    "context_ngrams": f"""WITH p AS (SELECT string_split(ngram, ' ') AS p FROM (
+          SELECT ngram, count(*) AS n FROM (SELECT unnest({grams('words', 2)}) AS ngram FROM {WORDS} WHERE len(words) >= 2)
+          GROUP BY ngram ORDER BY n DESC, ngram LIMIT {R.CONTEXT_PAIRS})),
+        c AS (SELECT p[1] || ' ' || p[2] || ' null' AS context, p[1] AS a, p[2] AS b, 2 AS spot FROM p
+              UNION SELECT p[1] || ' null ' || p[2], p[1], p[2], 3 FROM p),
+        t AS (SELECT unnest(list_transform(generate_series(1, len(words) - 2), lambda i: words[i:i + 2])) AS t FROM {WORDS} WHERE len(words) >= 3)
+      SELECT * FROM (SELECT context, array_to_string(t, ' ') AS ngram, count(*) AS estfrequency
+                     FROM t JOIN c ON t[1] = a AND t[spot] = b GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY context ORDER BY estfrequency DESC, ngram) <= {R.NGRAM_TOP_K}""",
     "product_ngrams": f"""SELECT ngram, count(*) AS estfrequency FROM (
         SELECT unnest({grams('words', 2)}) AS ngram FROM {WORDS} WHERE len(words) >= 2 AND prod_id = {R.REVIEW_PRODUCT})
       GROUP BY ngram ORDER BY estfrequency DESC, ngram LIMIT {R.TOP_K}""",
@@ -268,6 +277,8 @@ SQL: dict[str, str] = {
     "quarantine": f"""SELECT CASE WHEN time_taken % 107 = 5 THEN 'too few fields' WHEN time_taken % 109 = 6 THEN 'too many fields'
           WHEN time_taken % 113 = 7 THEN 'bad value: s_port' WHEN cs_bytes IS NULL THEN 'bad value: cs_bytes' END AS reason, count(*) AS n
       FROM {WEBLOG} GROUP BY ALL""",
+    "w3c_by_name": f"SELECT * REPLACE (CASE WHEN cs_method = 'GET' THEN cs_cookie END AS cs_cookie) FROM {WEBLOG}",
+    "multiline_records": "SELECT * FROM documents",
     "skip_lines": "SELECT concat_ws('|', CAST(p_partkey AS VARCHAR), p_name, p_brand) AS value FROM part",
     "csv_sink": topk_breakdown(SOCIAL, R.TOP_K),
 }

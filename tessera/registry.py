@@ -18,14 +18,14 @@ from tessera.functions.temporal import date_parts
 from tessera.functions.text import clean_text, ngrams, split_words, tokenize
 from tessera.functions.weblog import page_key
 from tessera.operators.generators import explode_rows
-from tessera.operators.relational import top_k, union_all
+from tessera.operators.relational import top_k, top_k_per_group, union_all
 from tessera.operators.sketches import (distinct_sketches, estimate, estimated_ngrams, merge_sketches,
                                         relative_bound)
 from tessera.operators.sentiment import message_sentiment, word_polarity
-from tessera.operators.text import context_ngram, ngram_counts, ngram_regex_filter
+from tessera.operators.text import context_ngram, context_ngrams, ngram_counts, ngram_frequency, ngram_regex_filter
 from tessera.plans import messages, ratings, sensors, social, weblog
 from tessera.session import shared_path
-from tessera.sources import readers, rejects, tables
+from tessera.sources import readers, records, rejects, tables
 from tessera.sources.schemas import LEXICON_SCHEMA, PART_SCHEMA, PRODUCTS_SCHEMA, WEBLOG_SCHEMA, ZONE_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,7 @@ FOURGRAM_PREFIX_REGEX = r"^of the"
 COMMENT_PHRASE = "the and"
 COMMENT_WORD = "red"
 NGRAM_SHARE = 2000
+CONTEXT_PAIRS = 50
 NAME_PHRASE, NAME_BRAND = "red", "Brand#17"
 
 
@@ -236,6 +237,14 @@ def q_context_ngram_exact(spark, d):
     return context_ngram(ratings.review_words(_ratings(spark, d)), EXACT_CONTEXT, exact=True)
 
 
+def q_context_ngrams(spark, d):
+    """What stands behind and within the most frequent bigrams: two contexts of each, all in one scan."""
+    words = ratings.review_words(_ratings(spark, d))
+    pairs = [r.ngram.split(" ") for r in ngram_frequency(words, 2, CONTEXT_PAIRS).collect()]
+    asked = [c for a, b in pairs for c in ((a, b, None), (a, None, b))]
+    return top_k_per_group(context_ngrams(words, asked, exact=True), ["context"], NGRAM_TOP_K, [F.col("estfrequency").desc()], ["ngram"])
+
+
 def q_comment_search(spark, d):
     return ratings.comments_with_phrase(_ratings(spark, d), COMMENT_PHRASE).select("prod_id", "cust_id", "message")
 
@@ -422,6 +431,24 @@ def q_client_errors_from_log(spark, d):
     return weblog.client_errors(readers.read_w3c_log(spark, f"{path}/*.txt"), k=TOP_K)
 
 
+def q_w3c_by_name(spark, d):
+    """Logs of two layouts, read as one table by the fields that each file names."""
+    logs = _weblog(spark, d)
+    gets, posts = logs.filter("cs_method = 'GET'"), logs.filter("cs_method = 'POST'")
+    other = posts.select(*reversed(posts.drop("cs_cookie").columns)).withColumn("x_edge", F.lit("e1"))
+    paths = [A.stage_files_with_header(spark, A.weblog_lines(gets), A.W3C_DIRECTIVES, "weblog-gets"),
+             A.stage_files_with_header(spark, A.weblog_lines(other), A.w3c_directives(other.columns), "weblog-posts")]
+    return readers.read_w3c_by_name(spark, paths)
+
+
+def q_multiline_records(spark, d):
+    """Documents, whose texts hold line ends and quotes, to CSV files and back."""
+    docs = _t(spark, d, "documents")
+    path = shared_path(spark, "documents-csv")
+    records.write_records(docs, path)
+    return records.read_records(spark, path, docs.schema)
+
+
 def q_skip_lines(spark, d):
     p = _t(spark, d, "part")
     lines = p.select(F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name", "p_brand").alias("value"))

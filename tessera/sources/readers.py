@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -68,6 +68,40 @@ def read_w3c_log(spark: SparkSession, path, schema: StructType = WEBLOG_SCHEMA)
     return read_delimited(spark, path, sep=" ", header=False, schema=schema, comment="#")
 
 
+FIELDS_DIRECTIVE = "#Fields:"
+
+
+def _plain_name(name: Column) -> Column:
+    """A field's name without case and marks: ``cs(User-Agent)`` and ``cs_useragent`` are one."""
+    return F.lower(F.regexp_replace(name, "[^A-Za-z0-9]", ""))
+
+
+def read_w3c_by_name(spark: SparkSession, path, schema: StructType = WEBLOG_SCHEMA) -> DataFrame:
+    """W3C extended logs whose fields differ by file: every file says its
+    fields and their order in ``#Fields`` lines, and columns are taken from
+    there by name.  A field that a file does not have is null, one that the
+    schema does not have is left out, and a value not of its type is null.
+
+    A line is read by the last ``#Fields`` line before it in its file (a server
+    writes a new one when it is configured anew); lines before the first are
+    null in all columns.  A large file is read by many tasks: what they share
+    are the layouts, one row a file, which are broadcast (the driver holds the
+    listing of the same files anyway)."""
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("_row"), F.col("_metadata.file_path").alias("_file"),
+                                         F.col("_metadata.file_block_start").alias("_block"))
+    names = F.split(F.trim(F.substring("value", len(FIELDS_DIRECTIVE) + 1, 1 << 20)), "\\s+")
+    places = F.array(*[F.array_position(F.col("names"), _plain_name(F.lit(f.name))) for f in schema.fields]).cast("array<int>")
+    layouts = (lines.filter(F.col("value").startswith(FIELDS_DIRECTIVE))
+               .select("_file", "_block", "_row", F.transform(names, _plain_name).alias("names"))
+               .groupBy("_file").agg(F.sort_array(F.collect_list(F.struct("_block", "_row", places.alias("places")))).alias("layouts")))
+    rows = lines.filter(~F.col("value").startswith("#")).join(F.broadcast(layouts), "_file", "left")
+    before = F.filter("layouts", lambda x: F.struct(x["_block"], x["_row"]) < F.struct("_block", "_row"))
+    placed = rows.select(F.split("value", " ").alias("values"), F.try_element_at(before, F.lit(-1))["places"].alias("places"))
+    own = [F.get("places", F.lit(i)) for i in range(len(schema.fields))]
+    return placed.select(*[F.when(at > 0, F.get("values", at - 1)).try_cast(f.dataType).alias(f.name)
+                           for f, at in zip(schema.fields, own, strict=True)])
+
+
 MAX_SKIPPED = 1000
 
 
