@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters that ``\s`` stands for.
+SPACES = " \t\n\x0b\f\r"
+
+
 def _empty_strings() -> Column:
     return F.array().cast("array<string>")
 
@@ -27,8 +31,7 @@ def tokenize(text: Column | str) -> Column:
     null    -> null
     """
     lowered = F.lower(_c(text))
-    # \z, as $ also matches before a final line end; a run is only tried from its first blank
-    trimmed = F.regexp_replace(lowered, r"(?<!\s)\s++\z", "")
+    trimmed = F.rtrim(lowered, F.lit(SPACES))
     return (F.when(lowered == "", F.array(F.lit("")))
              .when(trimmed == "", _empty_strings())
              .otherwise(F.split(trimmed, r"\s")))

@@ -7,7 +7,7 @@ word.  Scores are summed in each task before they move.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.sentiment import polarity_score, score_code, sentiment_label
@@ -50,26 +50,30 @@ def message_sentiment(words: DataFrame, lexicon: DataFrame, *, id_col: str = "id
         sentiment_label(F.coalesce(F.sum("score"), F.lit(0))).alias("sentiment"))
 
 
-def with_sentiment_code(messages: DataFrame, lexicon: DataFrame, *, key_col: str, id_col: str = "id",
-                        text_col: str = "text", lowercase: bool = False, out_col: str = "sentiment") -> DataFrame:
+def sentiment_codes(messages: DataFrame, lexicon: DataFrame, *, id_col: str = "id", text_col: str = "text",
+                    lowercase: bool = False, out_col: str = "sentiment") -> DataFrame:
+    """(id, code): 2 / 1 / 0 of all messages with an id together.  Ids whose
+    messages have no word are left out, null ids too.  Tasks sum what they
+    have read of an id before anything moves, and no text moves."""
+    known = messages.filter(F.col(id_col).isNotNull())
+    words = explode_words(known, id_col, text_col, lowercase=lowercase, out_col="_word")
+    lex = net_lexicon(lexicon).select(F.col("word").alias("_lex_word"), "score")
+    return (words.join(lex, F.col("_word") == F.col("_lex_word"), "left").groupBy(id_col)
+            .agg(score_code(F.coalesce(F.sum("score"), F.lit(0))).alias(out_col)))
+
+
+def with_sentiment_code(messages: DataFrame, lexicon: DataFrame, *, id_col: str = "id", text_col: str = "text",
+                        lowercase: bool = False, out_col: str = "sentiment") -> DataFrame:
     """Adds to every message the code (2 / 1 / 0) of all messages with its id
     together; null where the id is null or none of them has a word.
 
-    ``key_col`` names the message's group: the id, and anything that spreads
-    the messages without one.  A message becomes one row with all its columns
-    plus one short row a lexicon word, so a text is read, parsed and shuffled
-    once; the sum runs over the group's rows where they already are."""
-    payload = F.struct(*[F.col(c) for c in messages.columns])
-    parts = messages.select(F.col(key_col).alias("_key"), payload.alias("_message"),
-                            F.posexplode_outer(split_words(text_col, lowercase=lowercase)).alias("_pos", "_word"))
-    head = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    slim = parts.select("_key", F.when(head, F.col("_message")).alias("_message"), "_word",
-                        F.col("_word").isNotNull().cast("int").alias("_has"))
-    lex = net_lexicon(lexicon).select(F.col("word").alias("_lex_word"), "score")
-    found = (slim.join(lex, F.col("_word") == F.col("_lex_word"), "left").drop("_word", "_lex_word")
-                 .filter(F.col("_message").isNotNull() | F.col("score").isNotNull()))
-    group = Window.partitionBy("_key")
-    summed = (found.withColumn("_sum", F.coalesce(F.sum("score").over(group), F.lit(0)))
-                   .withColumn("_words", F.max("_has").over(group)).filter(F.col("_message").isNotNull()))
-    code = F.when(F.col(f"_message.{id_col}").isNotNull() & (F.col("_words") == 1), score_code(F.col("_sum")))
-    return summed.select("_message.*", code.alias(out_col))
+    The codes, a row an id, are joined back to the messages.  No step needs an
+    id's messages in one place: if the codes are too many to be broadcast, the
+    copies of a frequent id are a skewed partition, which AQE splits.  Messages
+    without an id are dealt by their place in the input, equal ones too."""
+    codes = sentiment_codes(messages, lexicon, id_col=id_col, text_col=text_col, lowercase=lowercase, out_col="_code")
+    # a key of its own on both sides: their exchanges are the join's alone, as splitting a skewed partition asks for
+    place = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
+    keyed = messages.select("*", F.coalesce(F.col(id_col).cast("string"), place).alias("_key"))
+    found = keyed.join(codes.select(F.col(id_col).cast("string").alias("_key"), "_code"), "_key", "left")
+    return found.select(*messages.columns, F.col("_code").alias(out_col))

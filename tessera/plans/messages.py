@@ -1,15 +1,13 @@
 """K7 — lexicon sentiment of JSON messages, geo-enriched by time zone.
 
-raw text lines -> parsed fields, once -> sentiment code of each id (words,
-lexicon, sum within the id) -> timestamp and country by time zone -> valid
-rows with cleaned text.  The text crosses one shuffle, keyed by message id.
+raw text lines -> parsed fields -> sentiment code of each id (words, lexicon,
+sums before the shuffle), joined back -> timestamp and country by time zone ->
+valid rows with cleaned text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,12 +18,11 @@ from tessera.operators.sentiment import explode_words, with_sentiment_code
 from tessera.sources.schemas import MESSAGE_JSON_SCHEMA
 
 
-def parse_messages(raw: DataFrame, schema: StructType = MESSAGE_JSON_SCHEMA, value_col: str = "value",
-                   keep: Sequence[Column] = ()) -> DataFrame:
+def parse_messages(raw: DataFrame, schema: StructType = MESSAGE_JSON_SCHEMA, value_col: str = "value") -> DataFrame:
     """JSON text line -> typed fields.  A malformed line gives all-null
     fields, a non-numeric id a null id (never an error)."""
     j = F.from_json(F.col(value_col), schema).alias("j")
-    parsed = raw.select(j, *keep)
+    parsed = raw.select(j)
     created = F.col("j.created_at")
     return parsed.select(
         F.col("j.id_str").try_cast("bigint").alias("id"),
@@ -33,7 +30,6 @@ def parse_messages(raw: DataFrame, schema: StructType = MESSAGE_JSON_SCHEMA, val
         *[c.alias(name) for name, c in created_at_parts(created).items()],
         F.col("j.text").alias("text"),
         F.col("j.user.time_zone").alias("time_zone"),
-        *[c for c in parsed.columns if c != "j"],
     )
 
 
@@ -67,11 +63,8 @@ def scored_messages(raw: DataFrame, zone_map: DataFrame, lexicon: DataFrame, *,
                     value_col: str = "value") -> DataFrame:
     """Every message with country and sentiment code (null code when the id is
     null or its messages have no words).  Words match the lexicon
-    case-sensitively unless ``lowercase`` folds the message words first.
-    Lines without an id are spread by a hash of the line."""
-    parsed = parse_messages(raw, value_col=value_col, keep=[F.xxhash64(value_col).alias("_line")])
-    keyed = parsed.withColumn("_group", F.struct("id", F.when(F.col("id").isNull(), F.col("_line")))).drop("_line")
-    coded = with_sentiment_code(keyed, lexicon, key_col="_group", lowercase=lowercase)
+    case-sensitively unless ``lowercase`` folds the message words first."""
+    coded = with_sentiment_code(parse_messages(raw, value_col=value_col), lexicon, lowercase=lowercase)
     return with_country(simple_messages(coded, "sentiment"), zone_map, "sentiment")
 
 

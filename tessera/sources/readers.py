@@ -9,8 +9,10 @@ exploratory use but costs an extra pass over the input.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -105,15 +107,49 @@ def read_w3c_by_name(spark: SparkSession, path, schema: StructType = WEBLOG_SCHE
 MAX_SKIPPED = 1000
 
 
+def _first_lines(n: int):
+    """(file, block, first, lines) of every split: the row id of its first
+    line and how many it holds, counted up to ``n``.  A split that does not
+    end its file is the only one of its task, which then stops."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = block = first = None
+        lines, made = 0, []
+
+        def closed() -> None:
+            if file is not None:
+                made.append((file, block, first, lines))
+
+        for batch in batches:
+            files, blocks = batch.column(1).dictionary_encode(), batch.column(2)
+            at = 0
+            while at < batch.num_rows:
+                name, start = files[at].as_py(), blocks[at].as_py()
+                here = pc.and_(pc.equal(files, pa.scalar(name)), pc.equal(blocks, pa.scalar(start, pa.int64())))
+                rows = pc.sum(here).as_py()  # the lines of a split stand together
+                if (name, start) != (file, block):
+                    closed()
+                    file, block, first, lines = name, start, batch.column(0)[at].as_py(), 0
+                lines = min(n, lines + rows)
+                at += rows
+            if lines == n and not batch.column(3)[batch.num_rows - 1].as_py():
+                break
+        closed()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            zip(*made) if made else ((), (), (), ()), (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
+            names=["_file", "_block", "_first", "_lines"])
+
+    return run
+
+
 def skip_lines(df: DataFrame, n: int) -> DataFrame:
     """Drop the first ``n`` lines of every input file of a file scan.
 
     A split's lines are read in order by one task, so generated row ids are
-    contiguous over them.  The split at byte 0 of a file says where the file
-    begins and how many lines it holds there; only for files that hold fewer
-    than ``n`` there are later splits counted as well, in order (as a rule
-    there is none, and AQE drops that branch).  A file with ``n`` lines or
-    fewer loses all of its own and none of another's.
+    contiguous over them.  A first look at the files finds each split's first
+    line and whether it holds ``n`` of them, which tells the lines to drop,
+    also in files that are cut within them; of a split in the midst of a file it reads
+    one batch only.  A file with ``n`` lines or fewer loses all of its own and
+    none of another's.
 
     The ids to drop, at most ``n`` a file, are broadcast: the driver holds the
     listing of the same files anyway.
@@ -122,15 +158,13 @@ def skip_lines(df: DataFrame, n: int) -> DataFrame:
         return df
     if n > MAX_SKIPPED:
         raise ValueError(f"at most {MAX_SKIPPED} lines can be skipped a file")
-    tagged = (df.withColumn("_row_id", F.monotonically_increasing_id())
-                .withColumn("_file", F.col("_metadata.file_path"))
-                .withColumn("_block", F.col("_metadata.file_block_start")))
-    held = [F.min("_row_id").alias("_first"), F.count(F.lit(1)).alias("_lines")]
-    heads = tagged.filter("_block = 0").groupBy("_file", "_block").agg(*held)
-    short = heads.filter(F.col("_lines") < n).select("_file")
-    later = tagged.filter("_block > 0").join(short, "_file", "left_semi").groupBy("_file", "_block").agg(*held)
+    block, length = F.col("_metadata.file_block_start"), F.col("_metadata.file_block_length")
+    tagged = df.withColumn("_row_id", F.monotonically_increasing_id())
+    seen = tagged.select("_row_id", F.col("_metadata.file_path").alias("_file"), block.alias("_block"),
+                         (block + length >= F.col("_metadata.file_size")).alias("_last"))
+    splits = seen.mapInArrow(_first_lines(n), "_file string, _block bigint, _first bigint, _lines bigint")
     before = F.sum("_lines").over(Window.partitionBy("_file").orderBy("_block")
                                   .rowsBetween(Window.unboundedPreceding, -1))
-    cut = heads.unionByName(later).withColumn("_cut", F.least("_lines", n - F.coalesce(before, F.lit(0)))).filter("_cut > 0")
+    cut = splits.withColumn("_cut", F.least("_lines", n - F.coalesce(before, F.lit(0)))).filter("_cut > 0")
     ids = cut.select(F.explode(F.sequence("_first", F.col("_first") + F.col("_cut") - 1)).alias("_row_id"))
-    return tagged.join(F.broadcast(ids), "_row_id", "left_anti").drop("_row_id", "_file", "_block")
+    return tagged.join(F.broadcast(ids), "_row_id", "left_anti").drop("_row_id")

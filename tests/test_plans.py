@@ -1,12 +1,16 @@
 """Plan-shape checks for the properties the operators rely on at scale."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize
 from tessera.adapters import lexicon, zone_map
 from tessera.operators.generators import explode_rows
-from tessera.plans.messages import scored_messages
+from tessera.operators.sentiment import with_sentiment_code
+from tessera.plans.messages import parse_messages, scored_messages
 from tessera.operators.relational import top_k_per_group
 from tessera.plans.social import topk_with_breakdown
 from tessera.registry import QUERIES
@@ -70,12 +74,35 @@ def test_no_forced_single_partition_or_spread(spark):
 
 
 def test_one_scan(spark):
-    for name in ("ngram_frequency_2", "ngram_frequency_3", "rating_extremes", "comment_search", "tokenize", "table_counts",
-                 "tweet_bi", "tweet_clean"):
+    for name in ("ngram_frequency_2", "ngram_frequency_3", "rating_extremes", "comment_search", "tokenize", "table_counts"):
         plan = final_plan(QUERIES[name](spark, SF))
         assert plan.count("FileScan parquet") == 1, name
-        if name.startswith("tweet"):
-            assert plan.count("from_json") == 1, name
+
+
+def test_copies_of_a_message_id_are_spread(spark):
+    """A third of all messages under one id, codes too many to be broadcast: several tasks join the copies."""
+    rng = random.Random(1)  # text that does not compress to nothing
+    texts = ["and " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=800)) for _ in range(6000)]
+    rows = [(json.dumps({"id_str": "7" if i % 3 == 0 else str(1000 + i), "text": t, "user": {"time_zone": "src0"}}),) for i, t in enumerate(texts)]
+    path = shared_path(spark, "hot-messages")
+    spark.createDataFrame(rows, "value string").repartition(12).write.parquet(path)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.files.maxPartitionBytes": "100k", "spark.sql.files.openCostInBytes": "10k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        scored = with_sentiment_code(parse_messages(spark.read.parquet(path)), lexicon(spark))
+        by_task = scored.select("id", "sentiment", F.length("text").alias("size"), F.spark_partition_id().alias("task")).groupBy(
+            "id", "task", "sentiment").agg(F.count("*").alias("n"), F.sum("size"))
+        got = [r for r in by_task.collect() if r.id == 7]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 2000 and len({r.sentiment for r in got}) == 1
+    assert len(got) > 1 and max(r.n for r in got) < 2000
 
 
 def test_messages_without_id_are_spread(spark):
