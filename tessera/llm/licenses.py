@@ -91,8 +91,14 @@ def _bands(window: Column) -> list[Column]:
             for k, x in enumerate(flips)]
 
 
-def _index(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, list[list[int]]]:
-    """(band, value, license, n_words, wanted) of all template windows, and the values of each band."""
+def _low(h: Column) -> Column:
+    """The bits of a hash that every band keeps (none is shifted by more than 24 bits)."""
+    return h.bitwiseAND(F.lit(2**40 - 1))
+
+
+def _index(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, list[list[int]], list[int]]:
+    """(band, value, license, n_words, wanted) of all template windows, the
+    values of each band, and the low bits of all hashes that make them."""
     if (words := sum(len(t.split()) for t in templates.values())) > MAX_WORDS:
         raise ValueError(f"{words} words of templates; at most {MAX_WORDS} can be shipped to every task")
     t = (spark.createDataFrame(list(templates.items()), "license string, text string").withColumn("words", _words("text"))
@@ -103,16 +109,19 @@ def _index(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, l
     entries = sorted({(k, r[f"b{k}"], r["license"], r["n_words"], tuple(r["wanted"])) for r in rows for k in range(BANDS)})
     index = spark.createDataFrame([(*e[:4], list(e[4])) for e in entries],
                                   "band int, value bigint, license string, n_words int, wanted array<string>")
-    return index, [sorted({e[1] for e in entries if e[0] == k}) for k in range(BANDS)]
+    lows = t.select(F.explode("_h").alias("h")).select(_low(F.col("h")).alias("low")).distinct().collect()
+    return index, [sorted({e[1] for e in entries if e[0] == k}) for k in range(BANDS)], sorted(r["low"] for r in lows)
 
 
 def scan(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", templates: dict[str, str] | None = None,
          contained: float = CONTAINED) -> DataFrame:
     """id, license, containment, first_word (of the first window that shows
     the notice; words are runs of ASCII letters and digits): the notices found in each document."""
-    index, values = _index(docs.sparkSession, TEMPLATES if templates is None else templates)
+    index, values, lows = _index(docs.sparkSession, TEMPLATES if templates is None else templates)
     base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), _words(text_col).alias("words"))
     hashed = base.withColumn("_h", _hashes("words")).filter("_h IS NOT NULL")
+    # a band's least hash is one of the window's own, so a text without any of the templates' has no equal band
+    hashed = hashed.filter(F.exists("_h", lambda h: _low(h).isin(lows)))
     # window rows carry no text, so that they stay small; the few documents found bring theirs by a join
     windows = hashed.select("row", F.explode_outer(_windows(STRIDE)).alias("w")).filter("w IS NOT NULL")
     bands = _bands(F.col("w"))
