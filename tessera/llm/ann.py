@@ -18,10 +18,9 @@ on until its leaves hold k sample rows beside itself, if there are as many.
 Leaves with many rows, such as copies of one vector, are cut into chunks of
 about CHUNK rows.
 
-Defined cases: as in the exact search, and zero vectors take no part; vectors
-of another length than the most common one in the sample are scored with no query, and
-queries of such a length find nothing; fewer than k candidates give all that
-are found.
+Defined cases: as in the exact search, and zero vectors take no part; every
+length of vectors has a forest of its own, so a query finds rows of its own
+length only; fewer than k candidates give all of them.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -42,6 +42,8 @@ K, EVERY = 20, 20
 #: Fitting: sample rows on the driver, trees, rows of the table aimed at in a leaf, sample queries, recall aimed at.
 SAMPLE, TREES, LEAF, PROBES, RECALL = 16_384, 8, 512, 200, 0.97
 CHUNK = 4096
+#: Scores of one pair computed in different ways differ by less than this times its lengths and its dimensions.
+SLACK = 4 * np.finfo(np.float64).eps
 
 
 @dataclass
@@ -145,16 +147,13 @@ class Forest:
 
 def fit(vectors: DataFrame, *, rows: int, sample: int = SAMPLE, trees: int = TREES, leaf: int = LEAF,
         probes: int = PROBES, recall: float = RECALL, k: int = K, seed: int = 5) -> Forest | None:
-    """A forest from the ``sample`` rows of least seeded hash (of the most common length)."""
+    """A forest from the ``sample`` rows of least seeded hash; the vectors are of one length."""
     h = F.xxhash64(F.lit(seed), "id")
     # by hash first, so that tasks send little more than the sample to the driver
     some = vectors.filter(F.pmod(h, F.lit(1 << 30)) <= int(min(1.0, 1.5 * sample / max(1, rows)) * (1 << 30)))
     got = some.orderBy(h, "id").limit(sample).collect()
     if not got:
         return None
-    lengths = np.array([len(r["v"]) for r in got])
-    width = np.bincount(lengths).argmax()
-    got = [r for r in got if len(r["v"]) == width]
     matrix, rng = np.array([r["v"] for r in got]), np.random.default_rng(seed)
     capacity = max(8, leaf * len(got) // max(1, rows))
     forest = Forest([grow(matrix, capacity, rng) for _ in range(trees)], np.array([r["id"] for r in got]), matrix)
@@ -178,18 +177,25 @@ def _stack(column: pd.Series, width: int) -> np.ndarray:
 def search(embeddings: DataFrame, *, k: int = K, every: int = EVERY, chunk: int = CHUNK, **fit_options) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every usable row
     whose vec_id is divisible by ``every``, among all other rows."""
-    spark = embeddings.sparkSession
     table = persisted(usable(embeddings).filter(F.exists("v", lambda x: x != 0)), "ann-vectors")
-    n = table.count()
+    lengths = sorted(tuple(r) for r in table.groupBy(F.size("v")).count().collect())
+    found = [_search(table.filter(F.size("v") == width), width, n, k, every, chunk, fit_options) for width, n in lengths]
+    if not found:
+        return embeddings.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(table: DataFrame, width: int, n: int, k: int, every: int, chunk: int, fit_options: dict) -> DataFrame:
+    """The search among the ``n`` rows of one length."""
     forest = fit(table, rows=n, k=k, **fit_options)
-    if forest is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    width = forest.sample.shape[1]
-    shipped = spark.sparkContext.broadcast(forest)
+    shipped = table.sparkSession.sparkContext.broadcast(forest)
+
+    def slack(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+        longest = np.sqrt((v * v).sum(axis=1)).max() if len(v) else 0.0
+        return SLACK * width * np.sqrt((q * q).sum(axis=1)) * longest
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b[b["v"].map(len) == width]
             leaf = shipped.value.leaves_of(_stack(b["v"], width))
             for t in range(leaf.shape[1]):
                 yield pd.DataFrame({"tree": t, "leaf": leaf[:, t], "id": b["id"], "v": b["v"]})
@@ -198,19 +204,18 @@ def search(embeddings: DataFrame, *, k: int = K, every: int = EVERY, chunk: int
         own = shipped.value
         members = own.members()
         for batch in batches:
-            batch = batch[batch["v"].map(len) == width]
             for i in range(0, len(batch), 256):
                 b = batch.iloc[i:i + 256]
                 q, ids = _stack(b["v"], width), b["id"].to_numpy()
                 score = q @ own.sample.T
                 score[ids[:, None] == own.sample_ids[None]] = -np.inf
-                margins = own.margins(q)
+                margins, less = own.margins(q), slack(q, own.sample)
                 for j in range(len(b)):
                     walk = own.walk([m[j] for m in margins], own.leaves, members, k + 1)  # one may be the query itself
                     met = np.zeros(score.shape[1], bool)
                     met[np.concatenate([members[t][x] for t, x in walk])] = True
                     near = score[j, met]
-                    cut = np.partition(near, -k)[-k] - 1e-9 if len(near) >= k else -np.inf
+                    cut = np.partition(near, -k)[-k] - less[j] if len(near) >= k else -np.inf
                     yield pd.DataFrame({"tree": [t for t, _ in walk], "leaf": [x for _, x in walk], "q": ids[j],
                                         "cut": cut, "qv": [q[j]] * len(walk)})
 
@@ -232,11 +237,11 @@ def search(embeddings: DataFrame, *, k: int = K, every: int = EVERY, chunk: int
         for i in range(0, len(asked) if len(rows) else 0, 1024):
             b = asked.iloc[i:i + 1024]
             q, names, cut = _stack(b["qv"], width), b["q"].to_numpy(), b["cut"].to_numpy()
-            score = q @ v.T
+            score, less = q @ v.T, slack(q, v)
             score[names[:, None] == ids[None]] = -np.inf
             if len(ids) > k:  # the k best of this leaf, and what may tie with them
-                cut = np.maximum(cut, np.partition(score, -k, axis=1)[:, -k] - 1e-9)
-            at, near = np.nonzero((score >= cut[:, None]) & np.isfinite(score))
+                cut = np.maximum(cut, np.partition(score, -k, axis=1)[:, -k] - less)
+            at, near = np.nonzero((score >= (cut - less)[:, None]) & np.isfinite(score))
             out.append(pd.DataFrame({"query_id": names[at], "vec_id": ids[near], "score": inner(q[at], v[near])}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 

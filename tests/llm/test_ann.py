@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tessera.llm import ann
 from tessera.llm.common import read_table
@@ -54,7 +55,7 @@ def test_defined_cases(spark):
             (5, [None, 1.0]), (6, [1.0, 2.0, 3.0]), (40, []), (60, [2.0, 2.0, 2.0]), (1, [0.9, 0.1]), (None, [1.0, 1.0])]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).selectExpr("*", "1 AS id", "2 AS v", "3 AS leaf")
     got = found(ann.search(df))
-    assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [1, 20], 20: [0, 1]}
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [1, 20], 20: [0, 1], 60: [6]}
     assert ann.search(df.limit(0)).collect() == []
     one = spark.createDataFrame([(0, [1.0], 0)], VECTORS)
     assert ann.search(one).collect() == []
@@ -68,3 +69,16 @@ def test_every_query_gets_k_rows(spark):
         want, got = exact(rows, ann.EVERY, ann.K), found(ann.search(df, **options))
         assert set(want) == set(got) and all(len(v) == ann.K for v in got.values())
     assert any({i for i, _ in want[q]} != {i for i, _ in got[q]} for q in want)
+
+
+@pytest.mark.parametrize("scale", [1e-8, 1.0, 1e4, 1e8])
+def test_scale_and_length_of_vectors_do_not_matter(spark, scale):
+    """Every query gets k rows, also from vectors of two lengths in one table."""
+    rng = np.random.default_rng(int(abs(np.log10(scale))))
+    rows = {i: (rng.standard_normal(64 if i % 3 else 24) * scale).tolist() for i in range(900)}
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows.items()], "vec_id bigint, embedding array<double>, label int")
+    got = found(ann.search(df))
+    for q in range(0, 900, ann.EVERY):
+        near = sorted(((float(np.dot(rows[q], v)), -i) for i, v in rows.items() if i != q and len(v) == len(rows[q])), reverse=True)
+        assert len(got[q]) == ann.K
+        assert len({-i for _, i in near[:ann.K]} & {i for i, _ in got[q]}) >= 0.6 * ann.K
