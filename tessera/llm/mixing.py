@@ -157,10 +157,10 @@ def seeded_hash(id_col: str, seed: int) -> Column:
                               1, 15), 16, 10).cast("bigint")
 
 
-def _cut(docs: DataFrame, rest: DataFrame, bits: int) -> DataFrame:
-    """rest(key, want) -> (key, bin, want): the range of the hash in which the
+def _cut(docs: DataFrame, rest: DataFrame, place: Column) -> DataFrame:
+    """rest(key, want) -> (key, bin, want): the value of ``place`` at which the
     words in order pass ``want``, and what is still wanted of it."""
-    words = (docs.withColumn("bin", F.shiftright("h", 60 - bits)).groupBy("key", "bin").agg(F.sum("size").alias("words")))
+    words = docs.withColumn("bin", place).groupBy("key", "bin").agg(F.sum("size").alias("words"))
     w = Window.partitionBy("key").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     cum = words.withColumn("before", F.coalesce(F.sum("words").over(w), F.lit(0))).join(rest, "key")
     return (cum.filter((F.col("before") <= F.col("want")) & (F.col("before") + F.col("words") > F.col("want")))
@@ -168,22 +168,30 @@ def _cut(docs: DataFrame, rest: DataFrame, bits: int) -> DataFrame:
 
 
 def cut_offs(docs: DataFrame, flows: DataFrame) -> DataFrame:
-    """(key, whole, last): every document of a pattern is used ``whole``
-    times, those up to ``last`` = (h, id) in order once more.  The last
-    document counts if at least half of it is wanted."""
+    """(key, whole, edge, last): every document of a pattern is used ``whole``
+    times, those before ``edge`` or up to ``last`` = (h, id, row) in order
+    once more.  The last document counts if at least half of it is wanted.
+
+    The place is narrowed down by ranges of the hash, then by the id, then by
+    ranges of the row's own hash, as one id may have any number of rows."""
     total, flow = F.col("total"), F.col("flow")
     rest = flows.select("key", F.when(total > 0, F.floor(flow / total)).otherwise(0).cast("int").alias("whole"),
                         F.when(total > 0, flow % total).otherwise(0).alias("want"))
-    coarse = _cut(docs, rest.select("key", "want"), 10)
-    inside = docs.join(coarse.select("key", F.col("bin").alias("b1")), "key").filter(F.shiftright("h", 50) == F.col("b1"))
-    fine = _cut(inside, coarse.select("key", "want"), 20)
-    few = docs.join(fine, "key").filter(F.shiftright("h", 40) == F.col("bin"))
-    w = Window.partitionBy("key").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, -1)
-    kept = (few.withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0)))
-               .filter(F.col("before") + F.col("size") / 2 <= F.col("want")))
-    last = kept.groupBy("key").agg(F.max(F.struct("h", "id")).alias("last"))
-    # nothing of the fine range fits: all that lies before it is used once more
-    edge = fine.select("key", F.shiftleft("bin", 40).alias("edge"))
+    steps = [F.shiftright("h", 50), F.shiftright("h", 40), F.struct("h", "id"), F.shiftright("row", 50), F.shiftright("row", 40)]
+    left, want = docs, rest.select("key", "want")
+    for n, place in enumerate(steps):
+        want = persisted(_cut(left, want.select("key", "want"), place), "mix-cut")
+        at = want.select("key", F.col("bin").alias("here"))
+        left = left.join(at, "key").filter(place.eqNullSafe(F.col("here"))).drop("here")
+        if n == 2:
+            same = want.select("key", F.col("bin.h").alias("h"), F.col("bin.id").alias("id"))
+    w = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    kept = (left.join(want.select("key", "want"), "key").withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0)))
+                .filter(F.col("before") + F.col("size") / 2 <= F.col("want")))
+    last = kept.groupBy("key").agg(F.max(F.struct("h", "id", "row")).alias("last"))
+    # nothing of the last range fits: all that lies before it is used once more
+    edge = (same.join(want.select("key", F.shiftleft("bin", 40).alias("row")), "key")
+            .select("key", F.struct("h", "id", "row").alias("edge")))
     return (rest.join(edge, "key", "left").join(last, "key", "left")
                 .select("key", "whole", F.col("edge"), F.col("last")))
 
@@ -194,14 +202,16 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", size: Column | None = None,
     times (how often the mix uses the document).  ``sources``: array of the
     sources that hold a document (default: its ``source`` alone); a document's
     words count once in each; source_size and target are its first source's.
-    Rows that share an id share a place in the seeded order."""
+    Rows that share an id follow each other in the seeded order, by their
+    place in the input, which must be a table read."""
     # a null source gets the empty name, others a mark before theirs, so that plain equality joins them
     named = F.transform(F.array("source") if sources is None else sources,
                         lambda x: F.coalesce(F.concat(F.lit("="), x), F.lit("")))
     full = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(id_col).alias("id"),
                        (word_count() if size is None else size).alias("size"),
-                       F.sort_array(F.array_distinct(named)).alias("names"), seeded_hash(id_col, seed).alias("h"))
-    slim = persisted(full.select("id", "size", "names", "h"), "mix")
+                       F.sort_array(F.array_distinct(named)).alias("names"), seeded_hash(id_col, seed).alias("h"),
+                       F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), 4).alias("row"))
+    slim = persisted(full.select("id", "size", "names", "h", "row"), "mix")
     by_pattern = persisted(slim.groupBy("names").agg(F.sum("size").alias("total")), "mix-patterns")
     sizes = (by_pattern.select(F.explode("names").alias("source"), "total")
              .groupBy(F.when(F.col("source") != "", F.col("source")).alias("source"))
@@ -215,13 +225,14 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", size: Column | None = None,
     placed = persisted(placed, "mix-placed")
     flows = route(placed.select("key", F.col("pattern").cast("array<bigint>").alias("pattern"), "total"),
                   goal.select(F.col("r").cast("bigint").alias("s"), F.col("target").alias("quota")), passes=passes)
-    keyed = slim.join(placed.select("names", "key"), "names").select("id", "size", "h", "key")
+    keyed = slim.join(placed.select("names", "key"), "names").select("id", "size", "h", "row", "key")
     cuts = cut_offs(keyed, persisted(flows, "mix-flows"))
     plan = persisted(placed.join(cuts, "key").join(goal.select(F.col("r").alias("first"), "source_size", "target"),
                                                    F.col("pattern")[0] == F.col("first"))
                      .select("names", "source_size", "target", "whole", "edge", "last"), "mix-plan")
-    again = (F.col("h") < F.col("edge")) | (F.struct("h", "id") <= F.col("last"))
-    return (full.join(plan, "names").withColumn("times", F.col("whole") + F.coalesce(again, F.lit(False)).cast("int"))
+    place = F.struct("h", "id", "row")
+    again = F.coalesce(place < F.col("edge"), F.lit(False)) | F.coalesce(place <= F.col("last"), F.lit(False))
+    return (full.join(plan, "names").withColumn("times", F.col("whole") + again.cast("int"))
                 .select("doc", "id", "size", "source_size", "target", "times"))
 
 

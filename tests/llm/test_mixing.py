@@ -103,3 +103,15 @@ def test_defined_cases(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == sum(r["times"] for r in out)
     nothing = spark.createDataFrame([(1, None, "en", "a", 1), (2, " ", "en", None, 1)], DOCS)
     assert [r["taken"] for r in M.taken(nothing).collect()] == [0, 0]
+
+
+def test_rows_that_share_an_id_are_taken_one_by_one(spark):
+    for ident in (7, None):
+        rows = [(ident, "w " * 10, "en", "a", 1)] * 200 + [(i, "w " * 10, "en", "b", 1) for i in range(20)]
+        df = spark.createDataFrame(rows, DOCS).repartition(3)
+        out = M.taken(df).collect()
+        for size in {r["source_size"] for r in out}:
+            mine = [r for r in out if r["source_size"] == size]
+            assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 5 and all(r["taken"] <= 20 for r in mine)
+        again = sorted((r["taken"] for r in M.taken(df).collect()), reverse=True)
+        assert again == sorted((r["taken"] for r in out), reverse=True)
