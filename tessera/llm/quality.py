@@ -103,10 +103,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, train: Column, text_col: str = "t
         f"length(t) > 0 and octet_length(t) <= {MAX_BYTES}")
     lab = (labels.select(F.col(id_col), F.col(label_col).cast("int").alias("y")).filter(train)
                  .filter("y in (0, 1)").select(F.col(id_col).alias("id"), "y").distinct())
-    # ids are drawn before any text is read, so only the sample's texts move
+    # ids of documents are drawn before any text moves, so only the sample's texts do
+    lab = lab.join(d.select("id").distinct(), "id", "left_semi")
     order = [F.xxhash64(F.lit(seed), "id"), F.col("id")]
     drawn = [lab.filter(F.col("y") == y).orderBy(*order).limit(2 * max_rows) for y in (0, 1)]
-    pool = d.join(F.broadcast(drawn[0].unionByName(drawn[1])), "id").collect()
+    # of rows that share an id one text counts, so the driver gets no more rows than it drew
+    pool = (d.join(F.broadcast(drawn[0].unionByName(drawn[1])), "id").groupBy("id", "y").agg(F.min("t").alias("t"))).collect()
     pool = sorted({(r["y"], r["id"], r["t"]) for r in pool})
     texts = {y: [text_bytes(t) for k, _, t in pool if k == y][:2 * max_rows] for y in (0, 1)}
     bad, good = texts[0], texts[1]

@@ -36,3 +36,10 @@ def test_defined_cases(spark, odd, none):
     one = Q.classify(odd, labels.filter("quality = 1")).collect()
     assert len({r["score"] for r in one}) == 1 and one[0]["score"] > 0.5
     assert Q.fit(spark.createDataFrame([], DOCS), labels, train=~Q.held_out()).score(b"x", ()) == 0.5
+
+
+def test_labels_of_absent_documents_change_nothing(spark):
+    docs, labels = (read_table(spark, "/root/testdata/sf0.001", t) for t in ("documents", "labels"))
+    absent = spark.range(10**6, 10**6 + 50_000).selectExpr("id AS doc_id", "id % 2 AS quality", "0 AS toxic").to(labels.schema)
+    a, b = (sorted(map(tuple, Q.classify(docs, x).collect())) for x in (labels, labels.unionByName(absent)))
+    assert a == b and len({r[2] for r in a}) > 10
