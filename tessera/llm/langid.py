@@ -12,11 +12,11 @@ Four pieces of evidence are combined, as sums of logarithms over the languages:
   domain's, and that towards all rows'.
 
 The tables of the last three come from one grouped count of (host, suffix,
-declared, language by text).  Languages are the declared primary tags that
-LEAST_ROWS rows, or one row in LEAST_SHARE, declare; there are no more of them
-than tags of two or three letters.  The text model (LANGUAGES x BUCKETS numbers)
-is all that is sent to tasks.  It is smoothed by the trigrams of all declared
-rows, so that a language of few rows draws only texts like its own.
+declared, language by text).  Languages are all declared primary tags, however
+few rows declare them; there are no more of them than tags of two or three
+letters.  The text model is all that is sent to tasks: a number for each bucket
+that a language has met, so a rare one adds little.  It is smoothed by the trigrams
+of all declared rows, so that a language of few rows draws only texts like its own.
 
 A row is accepted if its text has letters and the best language's posterior
 reaches ACCEPT (more likely than not).
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import in_small_batches, persisted
 
-BUCKETS, LEAST_ROWS, LEAST_SHARE = 8192, 3, 1000
+BUCKETS = 8192
 SMOOTH = BUCKETS / 2
 TEXT_WEIGHT, STRENGTH, ACCEPT = 50.0, 20.0, 0.5
 _MIX = np.uint32(2654435761)
@@ -77,26 +77,34 @@ def page_evidence(pages: DataFrame) -> dict[str, Column]:
 
 
 class TextModel:
-    """log P(trigram | language), languages in order."""
-
-    def __init__(self, languages: list[str], counts: np.ndarray):
-        every = counts.sum(axis=0) + 0.5
-        smooth = counts + SMOOTH * every / every.sum()
-        self.languages, self.table = languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)).T
+    """log P(trigram | language), languages in order: that of a trigram that a
+    language has not met, by bucket and by language, and what the others have
+    above it, bucket by bucket."""
+
+    def __init__(self, languages: list[str], language: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        every = np.bincount(bucket, n, BUCKETS) + 0.5
+        share = SMOOTH * every / every.sum()
+        order = np.lexsort((language, bucket))
+        self.languages, self.language = languages, language[order].astype(np.int32)
+        self.more = np.log1p(n[order] / share[bucket[order]])
+        self.first = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        self.unmet = np.log(share)
+        self.size = np.log(np.bincount(language, n, len(languages)) + SMOOTH)
 
     def evidence(self, text: str) -> np.ndarray | None:
         c = trigram_counts(text)
         if c is None:
             return None
         n, at = int(c.sum()), np.flatnonzero(c)
-        return (c[at] @ self.table[at]) / n * (n / (1 + n / TEXT_WEIGHT))
+        begin, many = self.first[at], self.first[at + 1] - self.first[at]
+        entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - begin, many)
+        above = np.bincount(self.language[entry], self.more[entry] * np.repeat(c[at], many), len(self.languages))
+        return ((c[at] @ self.unmet[at]) + above - n * self.size) / n * (n / (1 + n / TEXT_WEIGHT))
 
 
 def learn_text(rows: DataFrame) -> TextModel | None:
     """From every row of (text, declared) that declares a language."""
-    shares = rows.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).filter("declared IS NOT NULL")
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    languages = sorted(r[0] for r in shares.filter((F.col("n") >= LEAST_ROWS) | (F.col("n") * LEAST_SHARE >= total)).select("declared").collect())
+    languages = sorted(r[0] for r in rows.filter("declared IS NOT NULL").select("declared").distinct().collect())
     if not languages:
         return None
     place = {k: i for i, k in enumerate(languages)}
@@ -112,10 +120,8 @@ def learn_text(rows: DataFrame) -> TextModel | None:
             yield pd.DataFrame({"k": k, "bucket": at, "n": own[at]})
 
     parts = in_small_batches(rows.select("text", "declared")).mapInPandas(count, "k int, bucket int, n bigint")
-    table = np.zeros((len(languages), BUCKETS))
-    for k, bucket, n in parts.groupBy("k", "bucket").agg(F.sum("n")).collect():  # LANGUAGES x BUCKETS rows at most
-        table[k, bucket] = n
-    return TextModel(languages, table)
+    met = parts.groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()  # languages x BUCKETS rows at most
+    return TextModel(languages, *[met[c].to_numpy(np.int64) for c in ("k", "bucket", "n")])
 
 
 def _with_text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:

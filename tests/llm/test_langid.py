@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import langid as L
@@ -56,12 +57,13 @@ def test_pages_and_documents_together(spark):
     assert out.filter("accepted AND language = declared").count() >= 0.97 * sum(n)
 
 
-def test_rare_language_in_a_large_table(spark):
-    """Five rows among thousands make a language, which other rows do not fall to."""
+@pytest.mark.parametrize("few_rows", [1, 2, 5])
+def test_rare_language_in_a_large_table(spark, few_rows):
+    """A row or two among thousands make a language, which other rows do not fall to."""
     rng = random.Random(12)
     few, many = [["".join(rng.choice(letters) for _ in range(rng.randint(3, 7))) for _ in range(200)] for letters in ("aeilmnrst", "ðþáæöhkgvu")]
     text = lambda words: " ".join(rng.choice(words) for _ in range(40))
-    rows = [(i, text(few), "en", f"s{i % 3}", 1) for i in range(6000)] + [(6000 + i, text(many), "is", "t", 1) for i in range(5)]
+    rows = [(i, text(few), "en", f"s{i % 3}", 1) for i in range(6000)] + [(6000 + i, text(many), "is", "t", 1) for i in range(few_rows)]
     rows += [(7000 + i, text(many), None, "t", 1) for i in range(3)] + [(8000, "12 34 a 99 %", "en", "s1", 1)]
     df = spark.createDataFrame(rows, DOCS)
     out = {r["doc_id"]: r for r in L.judge(df, L.document_evidence(df)).select("doc.doc_id", "language", "accepted").collect()}
