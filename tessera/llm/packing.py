@@ -22,7 +22,6 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Callable, Iterator
-from functools import partial
 from itertools import pairwise
 
 import numpy as np
@@ -36,13 +35,16 @@ from tessera.llm.common import chunks, in_small_batches, persisted
 CAPACITY, PIECE, BUCKET = 2048, 1024, 512
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Characters of a text from which on the tokenizer's own, slower library encodes it: the
+#: other one fails on white space of a million characters in a row.
+LONG = 500_000
 
 
 def bpe_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
     """Encoder over a public byte-level BPE vocabulary.  ``vocabulary`` names
     a file of merge ranks; its ids are those of the tokenizer file of the same
     name (the tests compare the two).  Texts are cut at the added tokens of that
-    file, as it does itself."""
+    file, as it does itself; texts longer than LONG are encoded by it."""
     import base64
     import json
 
@@ -51,11 +53,24 @@ def bpe_encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
 
     with open(public_tokenizers.path(vocabulary), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    with open(public_tokenizers.path(vocabulary.rsplit(".", 1)[0] + ".json"), encoding="utf-8") as f:
+    file = public_tokenizers.path(vocabulary.rsplit(".", 1)[0] + ".json")
+    with open(file, encoding="utf-8") as f:
         added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
     own = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks={k: v for k, v in ranks.items() if k.decode(
         "utf-8", "replace") not in added}, special_tokens=added)
-    return partial(own.encode, allowed_special="all")
+    slow = None
+
+    def encode(text: str) -> list[int]:
+        nonlocal slow
+        if len(text) <= LONG:
+            return own.encode(text, allowed_special="all")
+        if slow is None:
+            from tokenizers import Tokenizer
+
+            slow = Tokenizer.from_file(file)
+        return slow.encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 def pieces(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY, piece: int = PIECE,

@@ -86,3 +86,11 @@ def test_added_tokens_inside_texts():
     encode = P.bpe_encoder()
     assert [[*encode(t), 1] for t in texts] == reference_ids(texts)
     assert 50256 in encode(texts[0])
+
+
+def test_very_long_white_space():
+    """Runs on which the fast encoder fails get the tokenizer's own ids."""
+    encode = P.bpe_encoder()
+    for unit in (" ", "\t", "\n", "\r\n", "a "):
+        text = "x" + unit * 1_000_000 + "y"
+        assert [*encode(text), 1] == reference_ids([text])[0]
