@@ -4,8 +4,9 @@ before it kept, and is written to the shared folder before the next reads it.
 1. language: rows whose language the fused evidence does not settle go;
 2. near copies: one document of each SimHash component stays (fingerprints of
    three-word shingles, linked at two or fewer bits);
-3. repeated strings: every byte that a repeated 400-byte string covers goes;
-   a text that loses everything stays as an empty one;
+3. repeated strings: every byte that a repeated string of REPEAT bytes covers
+   goes, which is less than any passage of fifty words of prose; a text that
+   loses everything stays as an empty one;
 4. mix: sources are brought to their target words; a document that the mix
    uses twice is two rows from here on;
 5. packing: documents become pieces of token sequences.
@@ -23,6 +24,10 @@ from tessera.llm import langid, mixing, packing, simhash, suffix_dedup
 from tessera.llm.common import persisted, read_table
 
 
+#: Bytes of the shortest repeated string that is removed.
+REPEAT = 200
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted_documents(docs)
 
@@ -32,7 +37,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.deduplicated(docs)
+    return suffix_dedup.deduplicated(docs, length=REPEAT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
