@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,15 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def joined_anew(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right``, an aggregate by the bigint ``key``.  The
+    join gets a key of its own, so that both sides are dealt out for it alone:
+    AQE splits the copies of a frequent key then, which it cannot where one
+    side still lies as its aggregate left it."""
+    own = F.col(key).bitwiseXOR(F.lit(-1).cast("bigint")).alias("_own")
+    return left.select("*", own).join(right.select(own, *[c for c in right.columns if c != key]), "_own", how).drop("_own")
+
+
 def whole(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, so that none can clash with columns added beside it."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
@@ -60,6 +70,36 @@ def chunks(frame: pd.DataFrame, rows: int) -> Iterator[pd.DataFrame]:
         yield frame.iloc[i:i + rows]
 
 
+# ------------------------------------------------- sets of hashes of fixed size
+_BUCKET = 32768  # bits in a row of Spark's bitmaps
+
+
+def bitmap(keys: DataFrame, key: str, bits: int) -> bytes:
+    """A bit for each value of the column, by its last places; the driver gets
+    ``bits`` bits at most, however many there are.  Packed, as executors keep
+    what they are sent on disk, too."""
+    place = F.col(key).bitwiseAND(F.lit(bits - 1)) + 1
+    rows = (keys.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map")).collect())
+    out = bytearray(bits // 8)
+    for r in rows:
+        start = (r["bucket"] - 1) * (_BUCKET // 8)
+        out[start:start + _BUCKET // 8] = r["map"][:len(out) - start]
+    return zlib.compress(bytes(out), 1)
+
+
+def unpacked(bits: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(bits), np.uint8)
+
+
+def held(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key is set (of a key in the set it is; of others, seldom)."""
+    if bits is None:
+        return np.zeros(len(keys), bool)
+    place = keys & np.uint64(len(bits) * 8 - 1)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 # ------------------------------------------------------- vectorised word hashes
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -68,7 +108,8 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base of the sums, and of its inverse."""
     if len(_powers[0]) < n:
         size = 1 << (n - 1).bit_length()
         for i, base in enumerate((_BASE, _INVERSE)):
@@ -96,7 +137,7 @@ def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     """One 64-bit hash a word, from polynomial prefix sums over the bytes."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    up, down = _power_tables(len(data) + 1)
+    up, down = power_tables(len(data) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64),
                            np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * up[:-1])])
     return mix64((sums[ends] - sums[starts]) * down[starts])

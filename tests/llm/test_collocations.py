@@ -72,27 +72,27 @@ def test_one_phrase_in_most_rows(spark):
     assert result(collocations.collocations(df)) == brute(rows, 30, 2000)
 
 
-def test_stretches_and_places_of_a_task():
-    rng = random.Random(9)
-    texts = repetitive(rng, 80)
+def test_stretches_and_places_of_a_task(monkeypatch):
+    texts = repetitive(random.Random(9), 80)
     every = np.full(1 << 7, 255, np.uint8)
     whole = Counter(p for t in texts for p in phrases_of(t))
-    got, words = Counter(), 0
-    before, collocations.STRETCH = collocations.STRETCH, 500
-    try:
-        parts = list(collocations.stretches([t.encode() for t in texts]))
-    finally:
-        collocations.STRETCH = before
+    monkeypatch.setattr(collocations, "STRETCH", 500)
+    monkeypatch.setattr(collocations, "BLOCK", 100)
+    parts = list(collocations.stretches([t.encode() for t in texts]))
     assert len(parts) > 5
+    got, names = Counter(), {}
     for data in parts:
-        for n, phrases, _, times in collocations.counted(data, zlib.crc32(b"en"), every, None, True):
-            if n:
-                got.update({tuple(p.decode().split(" ")): int(c) for p, c in zip(phrases, times, strict=True)})
-            else:
-                words += int(times[0])
-    assert got == whole and words == sum(c for p, c in whole.items() if len(p) == 1)
-    # what passed a round ago is not counted again
-    assert not list(collocations.counted(parts[0], 1, every, every, False))
+        for n, start, end, x, y, old in collocations.runs(data, zlib.crc32(b"en"), every):
+            first, times = collocations.distinct(x, y)
+            assert times.sum() == len(x) and not old.any()
+            for i, c in zip(first, times, strict=True):
+                key, phrase = (int(x[i]), int(y[i])), tuple(re.split(" +", data[start[i]:end[i]].decode()))
+                assert len(phrase) == n and names.setdefault(key, phrase) == phrase
+                got[phrase] += int(c)
+    assert got == whole and len(names) == len(whole)
+    # what passed a round ago is told apart
+    for n, *_, old in collocations.runs(parts[0], 1, every, every):
+        assert n == 1 or old.all()
 
 
 def test_odd_and_empty_tables(spark, odd, odd_rows, none):
