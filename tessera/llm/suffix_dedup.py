@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, first_minima, in_small_batches, persisted, release, text_bytes, whole
+from tessera.llm.common import discard, first_minima, in_small_batches, joined_anew, persisted, release, text_bytes, whole
 
 LENGTH, WIDTH, BLOCK, BUCKET, PARSED_BYTES, ORDERED_ROWS = 400, 16, 64, 2000, 1 << 20, 20_000
 _TABLE = np.random.Generator(np.random.PCG64(20)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -226,11 +226,12 @@ def _large_centres(classes: DataFrame) -> DataFrame:
     """(class, mask) of centres with many classes: each window by itself, as an aggregation."""
     each = classes.select("class", "key", "left", "right", "n", F.explode(F.sequence("lo", "hi")).alias("a"))
     outer = F.concat(F.expr("right(left, a)"), F.expr(f"left(right, {BLOCK - 1} - a)"))
-    each = each.select("class", "a", "n", F.md5(F.concat(F.col("key").cast("string").cast("binary"), F.lit(b":"),
-                                                         F.col("a").cast("string").cast("binary"), F.lit(b":"), outer)).alias("w"))
+    each = each.select("class", "a", "n", F.unhex(F.md5(F.concat(F.col("key").cast("string").cast("binary"), F.lit(b":"),
+                                                         F.col("a").cast("string").cast("binary"), F.lit(b":"), outer))).alias("w"))
     each = persisted(each, "pfp-windows")
-    twice = each.groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select("w")
-    return (each.join(twice, "w").groupBy("class")
+    # joined by another form of the key, so that AQE may split the windows of a frequent one
+    twice = each.groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select(F.hex("w").alias("v"))
+    return (each.withColumn("v", F.hex("w")).join(twice, "v").groupBy("class")
             .agg(F.bit_or(F.expr("shiftleft(1L, a)")).alias("mask")))
 
 
@@ -263,7 +264,7 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = LEN
     long = texts.filter(F.octet_length("t") >= length)
     parsed = persisted(long.mapInPandas(_centre_rows(length), "key bigint, row bigint, at bigint"), "pfp-parse")
     shared = parsed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    flags = persisted(parsed.join(shared, "key", "left_semi").groupBy("row").agg(F.collect_list("at").alias("flags")), "pfp-flags")
+    flags = persisted(joined_anew(parsed, shared, "key", "left_semi").groupBy("row").agg(F.collect_list("at").alias("flags")), "pfp-flags")
     discard(spark, parsed)
     del parsed, shared
     release(spark)
