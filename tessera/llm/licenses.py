@@ -35,8 +35,42 @@ from tessera.llm.common import persisted
 SHINGLE, WINDOW, STRIDE, BANDS, CONTAINED, MAX_WORDS = 5, 8, 2, 16, 0.8, 20_000
 
 # ---------------------------------------------------------------- fixed values
-# Wordings of well-known public licenses' notices.
+# Standard notices of common public licenses, in their own words.
 TEMPLATES = {
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
+            "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES",
+    "agpl-3.0-header": "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+                       "either version 3 of the License, or (at your option) any later version",
+    "apache-2.0-warranty": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+                           "on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+    "boost-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "bsd-3-endorse": "may be used to endorse or promote products derived from this software without specific prior written permission",
+    "cc-by-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License",
+    "cc-by-nc-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-nc-nd-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    "cc-by-nc-sa-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nd-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-sa-3.0": "Text is available under the Creative Commons Attribution-ShareAlike License",
+    "cc0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this "
+               "software to the public domain worldwide",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "gfdl-1.3": "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation "
+                "License, Version 1.3",
+    "gpl-2.0-header": "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 "
+                      "of the License, or (at your option) any later version",
+    "gpl-3.0-header": "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 "
+                      "of the License, or (at your option) any later version",
+    "lgpl-2.1-header": "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+                       "either version 2.1 of the License, or (at your option) any later version",
+    "lgpl-3.0-header": "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either "
+                       "version 3 of the License, or (at your option) any later version",
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    "mit-short": "This project is licensed under the terms of the MIT license",
+    "ofl-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1",
+    "wtfpl": "This work is free. You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+            "damages arising from the use of this software",
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
