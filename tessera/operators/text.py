@@ -1,26 +1,32 @@
 """Text-mining operators: tokenising, n-gram rows and frequencies, regex
 prefix filtering and wildcard context n-grams.
 
-All are DataFrame-in, DataFrame-out and run as JVM built-ins.  Texts are
-processed whole.  n-gram strings are generated inside each row (no shuffle)
-and counted with a map-side-combined aggregate, so a very frequent n-gram
-never concentrates raw rows on one task.
+All are DataFrame-in, DataFrame-out.  Texts are processed whole.  n-gram rows
+are built by JVM built-ins inside each row (no shuffle).  Counts are taken on
+numbered words in Arrow batches (``grams``) and summed by a map-side-combined
+aggregate, so a very frequent n-gram never concentrates raw rows on one task.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.functions.text import gram_at, ngrams, ngrams_starting_with
 from tessera.operators.generators import explode_rows
+from tessera.operators.grams import WORDS_AT_A_TIME, Bounds, bounds, counted, gram_schema, handed, slices
 from tessera.operators.relational import top_k, top_k_per_group
 
+# n-grams of that many words seldom repeat within a task; for the first few of
+# them, up to MOST_BOUNDED a group, counts are bounded before they are taken.
+LONG, MOST_BOUNDED = 3, 1000
 # Fixed value: the word that stands for "any word" in a context prefix.
 WILDCARD = "null"
 
@@ -34,15 +40,37 @@ def explode_ngrams(df: DataFrame, n: int, words_col: str = "words", out_col: str
 def ngram_counts(df: DataFrame, n: int, words_col: str = "words", out_col: str = "ngram",
                  group: Sequence[str] = (), count_col: str = "estfrequency") -> DataFrame:
     """Exact occurrence count of every n-gram (per ``group`` if given)."""
-    grams = explode_ngrams(df, n, words_col, out_col, keep=group)
-    return grams.groupBy(*group, out_col).agg(F.count(F.lit(1)).alias(count_col))
+    return _ngram_counts(df, n, words_col, out_col, group, count_col, None)
+
+
+def _ngram_counts(df: DataFrame, n: int, words_col: str, out_col: str, group: Sequence[str], count_col: str, bounds: Bounds | None) -> DataFrame:
+    """``ngram_counts``; with ``bounds`` without the n-grams that cannot be among their group's first."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    sent = df.sparkSession.sparkContext.broadcast(bounds) if bounds is not None else None
+    schema = gram_schema(df, group, StructField(out_col, StringType()), StructField(count_col, LongType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, WORDS_AT_A_TIME):
+                row, grams, times, _ = counted(rows, n)
+                if sent is not None:
+                    kept = np.flatnonzero(sent.value.may_be_first(rows, row, grams))
+                    row, grams, times = row[kept], grams.take(pa.array(kept)), times[kept]
+                yield from handed([*[c.take(pa.array(row)) for c in rows.columns[:-1]], grams, pa.array(times, pa.int64())], schema.names)
+
+    parts = df.select(*group, words_col).mapInArrow(run, schema)
+    return parts.groupBy(*group, out_col).agg(F.sum(count_col).alias(count_col))
 
 
 def ngram_frequency(df: DataFrame, n: int, k: int | None = 5, words_col: str = "words",
                     out_col: str = "ngram", group: Sequence[str] = (),
                     count_col: str = "estfrequency") -> DataFrame:
-    """Most frequent n-grams: overall, or the top ``k`` of each group."""
-    counts = ngram_counts(df, n, words_col, out_col, group, count_col)
+    """Most frequent n-grams: overall, or the top ``k`` of each group.  For a
+    few long ones, a first pass bounds the counts, and n-grams that cannot be
+    among them are not shuffled; counts are exact all the same."""
+    few = n >= LONG and k is not None and 0 < k <= MOST_BOUNDED
+    counts = _ngram_counts(df, n, words_col, out_col, group, count_col, bounds(df, n, k, words_col, group) if few else None)
     if k is None:
         return counts.orderBy(F.col(count_col).desc(), *group, out_col)
     order, ties = [F.col(count_col).desc()], [F.col(out_col)]
