@@ -14,14 +14,16 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.functions.text import gram_at, ngrams, ngrams_starting_with
 from tessera.operators.generators import explode_rows
-from tessera.operators.grams import WORDS_AT_A_TIME, Bounds, bounds, counted, gram_schema, handed, slices
+from tessera.operators.grams import WORDS_AT_A_TIME, Bounds, Words, bounds, counted, distinct, gram_schema, handed, packed, slices
 from tessera.operators.relational import top_k, top_k_per_group
 
 # n-grams of that many words seldom repeat within a task; for the first few of
@@ -160,55 +162,71 @@ def context_ngram(df: DataFrame, context: str | Iterable[str | None], input_col:
 MAX_CONTEXTS = 100_000
 
 
-def _anchor(asked: Context, exact: bool) -> tuple[int, int, str]:
-    """(place, length, text) of the token that a context is looked up by: its
-    first literal.  Length -1 is the whole token; a literal at the end of a
-    context is also found as the beginning of a token, and a context without
-    literals as the empty beginning of any."""
-    at = next((i for i, t in enumerate(asked.tokens) if t is not None), 0)
-    token = asked.tokens[at]
-    if token is None:
-        return 0, 0, ""
-    return (at, -1, token) if exact or at < len(asked.tokens) - 1 else (at, len(token), token)
-
-
 def context_ngrams(df: DataFrame, contexts: Iterable[str | Sequence[str | None]], input_col: str = "words", context_col: str = "context",
                    out_col: str = "ngram", count_col: str = "estfrequency", exact: bool = False) -> DataFrame:
     """(context, ngram, estfrequency) of many contexts in one scan: for each
     what ``context_ngram`` gives for it alone, under its tokens joined by
     blanks.  Contexts that are equal count once.
 
-    Only tokens that some context is looked up by leave their text, each with
-    the few around it; they meet their contexts in a broadcast join (at most
-    MAX_CONTEXTS rows) and the other tokens are compared by position."""
+    Contexts are looked up by all their literals at once: those that have them
+    at the same places (a prefix at the end: of the same length) share one table."""
     asked = {c.tokens: c for c in map(Context.of, contexts)}
     if not asked or len(asked) > MAX_CONTEXTS:
         raise ValueError(f"between 1 and {MAX_CONTEXTS} contexts can be looked for in one scan")
-    rows = [(" ".join(WILDCARD if t is None else t for t in c.tokens), list(c.tokens), *_anchor(c, exact), c.regex()) for c in asked.values()]
-    table = df.sparkSession.createDataFrame(rows, "context string, tokens array<string>, place int, length int, text string, regex string")
-    ahead = max(r[2] for r in rows)
-    behind = max(len(r[1]) - r[2] for r in rows)
-    words = F.col(input_col)
-
-    def found(length: int) -> Column:
-        """Where a token's beginning of ``length`` (-1: the whole token) is that of a context."""
-        texts = sorted({r[4] for r in rows if r[3] == length})
-        text = (lambda t: t) if length < 0 else (lambda t: F.substring(t, 1, length))
-        hits = F.transform(words, lambda t, i: F.struct(F.lit(length).alias("length"), text(t).alias("text"), i.alias("i")))
-        return F.filter(hits, lambda x: x["text"].isin(texts)) if length else hits
-
-    hits = F.concat(*[found(length) for length in sorted({r[3] for r in rows})])
-    start = lambda x: F.greatest(x["i"] - ahead, F.lit(0))
-    near = F.transform(hits, lambda x: F.struct(x["length"].alias("length"), x["text"].alias("text"), (x["i"] - start(x)).alias("at"),
-                                                F.slice(words, start(x) + 1, ahead + behind).alias("around")))
-    held = explode_rows(df, near, "hit").select("hit.*").join(F.broadcast(table), ["length", "text"])
-    begin, size = F.col("at") - F.col("place"), F.size("tokens")
-    gram = held.filter((begin >= 0) & (begin + size <= F.size("around"))).select(
-        "context", "tokens", "regex", F.slice("around", F.greatest(begin, F.lit(0)) + 1, size).alias("gram"))
-    last = F.size("tokens") - 1
-    same = F.forall(F.sequence(F.lit(0), last), lambda j: F.get("tokens", j).isNull() | (F.get("tokens", j) == F.get("gram", j))
-                    | (F.lit(not exact) & (j == last) & F.startswith(F.get("gram", j), F.get("tokens", j))))
-    fits = gram.filter(same).select("context", "regex", F.array_join("gram", " ").alias(out_col))
+    tables = [(shape, pa.array([" ".join(WILDCARD if t is None else t for t in c.tokens) for c in same]), pa.array([c.regex() for c in same]),
+               [pa.array([c.tokens[j] for c in same]) for j in shape[1]]) for shape, same in _by_shape(asked.values(), exact).items()]
+    sent = df.sparkSession.sparkContext.broadcast(tables)
+    schema = StructType([StructField(c, StringType()) for c in ("context", "regex", out_col)] + [StructField(count_col, LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, WORDS_AT_A_TIME):
+                words = Words(rows.column(0))
+                for (n, places, prefix), names, regexes, literals in sent.value:
+                    at, which = _found(words, n, places, prefix, literals, len(names))
+                    first, times = distinct(packed([(which, len(names)), *words.parts(at, n)]))
+                    own = pa.array(which[first])
+                    yield from handed([names.take(own), regexes.take(own), words.grams(at[first], n), pa.array(times, pa.int64())], schema.names)
+
+    fits = df.select(input_col).mapInArrow(run, schema)
     if not exact:
         fits = fits.filter(F.rlike(F.col(out_col), F.col("regex")))
-    return fits.groupBy(F.col("context").alias(context_col), out_col).agg(F.count(F.lit(1)).alias(count_col))
+    return fits.groupBy(F.col("context").alias(context_col), out_col).agg(F.sum(count_col).alias(count_col))
+
+
+def _by_shape(contexts: Iterable[Context], exact: bool) -> dict[tuple[int, tuple[int, ...], int], list[Context]]:
+    """Contexts by (length, places of literals, length of the prefix that the last one is; -1: it is whole)."""
+    out: dict[tuple[int, tuple[int, ...], int], list[Context]] = {}
+    for c in contexts:
+        last = c.tokens[-1]
+        prefix = -1 if exact or last is None else len(last)
+        out.setdefault((len(c.tokens), tuple(j for j, t in enumerate(c.tokens) if t is not None), prefix), []).append(c)
+    return out
+
+
+def _found(words: Words, n: int, places: Sequence[int], prefix: int, literals: Sequence[pa.Array], many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where n-grams with some context's literals begin, and which context's (of ``many`` that ask for the same places)."""
+    at, own, parts = words.places(n), np.arange(many), []
+    for j, asked in zip(places, literals, strict=True):
+        # the place's words (or their beginnings) in numbers, and the contexts' words in the same
+        texts, number = words.texts, np.arange(len(words.texts))
+        if j == n - 1 and prefix >= 0:
+            begun = pc.utf8_slice_codeunits(texts, 0, prefix).dictionary_encode()
+            texts = begun.dictionary
+            number = begun.indices.fill_null(len(texts)).to_numpy(zero_copy_only=False).astype(np.int64)
+        wanted = pc.index_in(asked, value_set=texts).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        used = np.zeros(len(texts) + 1, bool)
+        used[wanted[wanted >= 0]] = True
+        at = at[used[number[words.code[at + j]]]]
+        own = own[wanted[own] >= 0]
+        parts.append((j, number, wanted, len(texts) + 1))
+    if not places:
+        return at, np.zeros(len(at), np.int64)
+    key = packed([(np.concatenate([wanted[own], number[words.code[at + j]]]), width) for j, number, wanted, width in parts])
+    order = np.argsort(key[:len(own)])
+    table, key = key[:len(own)][order], key[len(own):]
+    if not len(own):
+        return at[:0], own
+    spot = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    fits = table[spot] == key
+    return at[fits], own[order[spot[fits]]]

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tessera.operators import grams as G
-from tessera.operators.text import ngram_counts, ngram_frequency
+from tessera.operators.text import context_ngrams, ngram_counts, ngram_frequency
 
 
 def rows_of(groups, n, seed=1):
@@ -62,3 +62,10 @@ def test_packed_numbers_of_many_words():
     assert len({*key.tolist()}) == len({*zip(*codes)})
     same = {}
     assert all(same.setdefault(t, k) == k for t, k in zip(zip(*codes), key.tolist(), strict=True))
+
+
+def test_contexts_make_no_row_a_word(spark):
+    df = spark.createDataFrame([(["a", "b", "c", "a", None, "c"],)], "words array<string>")
+    found = context_ngrams(df, [("a", None, "c"), (None, "b"), ("z",)], exact=True)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.context, r.ngram, r.estfrequency) for r in found.collect()} == {("a null c", "a b c", 1), ("a null c", "a c", 1), ("null b", "a b", 1)}
