@@ -5,13 +5,14 @@ distinct counts that can be rolled up, and frequent items with error bounds.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField
 
+from tessera.operators.grams import WORDS_AT_A_TIME, counted, gram_schema, handed, slices
 from tessera.session import shared_path
 
 # A sketch of 2^LG_K buckets; its relative standard error is about 1.04 / sqrt(2^LG_K).
@@ -58,6 +59,14 @@ class Counters:
         if len(held) > 2 * self.capacity:
             self.shrink()
 
+    def merge(self, counts: Iterable[tuple[object, int]]) -> None:
+        """Items with the number of times that each was seen."""
+        held = self.held
+        for item, times in counts:
+            held[item] = held.get(item, 0) + times
+        if len(held) > 2 * self.capacity:
+            self.shrink()
+
     def shrink(self) -> None:
         """Take the largest count that does not fit off all counters."""
         if len(self.held) <= self.capacity:
@@ -76,27 +85,28 @@ def estimated_ngrams(df: DataFrame, n: int, *, words_col: str = "words", group:
     Every n-gram more frequent than ``at_most - at_least``, the same for all,
     is in the result; that gap is at most the number of n-grams divided by the
     capacity.  The tasks' counters are written once, as their losses have to be
-    known before the bounds are."""
-    kinds = [df.schema[c] for c in group]
-    columns = [*group, out_col, "count"]
-    schema = StructType([*[StructField(f.name, f.dataType) for f in kinds], StructField(out_col, StringType()),
-                         StructField("count", LongType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counters = Counters(capacity)
+    known before the bounds are.  N-grams of some rows are counted together,
+    and cut down to ``capacity`` as the counters are, before they come to them."""
+    schema = gram_schema(df, group, StructField(out_col, StringType()), StructField("count", LongType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, kinds = Counters(capacity), None
         for batch in batches:
-            for *key, words in zip(*[batch[c] for c in (*group, words_col)], strict=True):
-                if words is not None and len(words) >= n:
-                    key = tuple(None if pd.isna(k) else k for k in key)
-                    counters.add((*key, " ".join(g)) for g in zip(*[words[i:] for i in range(n)], strict=False))
+            kinds = [*[c.type for c in batch.columns[:-1]], pa.string(), pa.int64()]
+            for rows in slices(batch, WORDS_AT_A_TIME):
+                row, grams, times, cut = counted(rows, n, capacity)
+                counters.lost += cut
+                own = [c.take(pa.array(row)).to_pylist() for c in rows.columns[:-1]]
+                own = [[None if v != v else v for v in c] for c in own]
+                counters.merge(zip(zip(*own, grams.to_pylist(), strict=True), times.tolist(), strict=True))
         counters.shrink()
-        rows = [(*k, c) for k, c in counters.held.items()]
-        for i in range(0, len(rows), 10_000):
-            yield pd.DataFrame(rows[i:i + 10_000], columns=columns, dtype=object)
-        yield pd.DataFrame([(*[None] * len(group), None, counters.lost)], columns=columns, dtype=object)
+        if kinds is not None:
+            columns = list(zip(*[(*k, c) for k, c in counters.held.items()], strict=True)) or [()] * len(kinds)
+            lost = [*[None] * len(group), None, counters.lost]
+            yield from handed([pa.array([*c, x], t) for c, x, t in zip(columns, lost, kinds, strict=True)], schema.names)
 
     path = shared_path(df.sparkSession, "ngram-counters")
-    df.select(*group, words_col).mapInPandas(run, schema).write.parquet(path)
+    df.select(*group, words_col).mapInArrow(run, schema).write.parquet(path)
     held = df.sparkSession.read.schema(schema).parquet(path)
     lost = held.filter(F.col(out_col).isNull()).agg(F.sum("count")).first()[0] or 0
     return (held.filter(F.col(out_col).isNotNull()).groupBy(*group, out_col).agg(F.sum("count").alias("at_least"))

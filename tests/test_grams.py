@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tessera.operators import grams as G
+from tessera.operators.sketches import Counters, estimated_ngrams
 from tessera.operators.text import context_ngrams, ngram_counts, ngram_frequency
 
 
@@ -69,3 +70,22 @@ def test_contexts_make_no_row_a_word(spark):
     found = context_ngrams(df, [("a", None, "c"), (None, "b"), ("z",)], exact=True)
     assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
     assert {(r.context, r.ngram, r.estfrequency) for r in found.collect()} == {("a null c", "a b c", 1), ("a null c", "a c", 1), ("null b", "a b", 1)}
+
+
+@pytest.mark.parametrize("capacity", [5, 40])
+def test_slices_are_cut_before_they_come_to_the_counters(spark, capacity):
+    rows = rows_of(["x"], 300, seed=4)
+    exact = Counter({gram: c for (_, gram), c in brute(rows, 2).items()})
+    counters = Counters(capacity)
+    for i in range(0, len(rows), 30):
+        batch = pa.RecordBatch.from_arrays([pa.array([w for _, w in rows[i:i + 30]], pa.list_(pa.string()))], names=["w"])
+        _, grams, times, cut = G.counted(batch, 2, capacity)
+        assert len(times) <= capacity
+        counters.lost += cut
+        counters.merge(zip(grams.to_pylist(), times.tolist(), strict=True))
+    counters.shrink()
+    assert len(counters.held) <= capacity and counters.lost <= sum(exact.values()) / capacity
+    assert all(counters.held.get(g, 0) <= c <= counters.held.get(g, 0) + counters.lost for g, c in exact.items())
+    df = spark.createDataFrame(rows, "g string, words array<string>").repartition(2)
+    for r in estimated_ngrams(df, 2, capacity=capacity).collect():
+        assert r.at_least <= exact[r.ngram] <= r.at_most and r.at_most - r.at_least <= sum(exact.values()) / capacity
