@@ -86,10 +86,10 @@ def word_keys(data: bytes, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each distinct pair first stands in an order that brings equal ones
+    """A place of each distinct pair, in an order that brings equal ones
     together, and how often it does.  (Pairs with equal halves ``a`` might
     alternate and come twice, which sums of their counts do not mind.)"""
-    order = np.argsort(a, kind="stable")
+    order = np.argsort(a)
     x, y = a[order], b[order]
     first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(x) else np.empty(0, np.int64)
     return order[first], np.diff(np.append(first, len(x)))
