@@ -81,20 +81,25 @@ def _apart(a: Column, b: Column) -> Column:
 
 def links(fps: DataFrame, *, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
     """(a, b) of distinct fingerprints(fp): every pair in a small bucket, and
-    enough pairs of the large ones to connect the same components."""
+    enough pairs of the large ones to connect the same components.
+
+    Variants and balls have 64 and 65 rows a fingerprint, which Spark's sizes
+    leave out (of an explode) or which pack well in a file: their joins are
+    planned at every size as the sorted ones that they are at scale, as a
+    broadcast of them is many times its estimate in the driver."""
     if distance != 2:
         raise ValueError("two segments with one wildcard are exact for a distance of 2")
     keys = _variants(fps)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = persisted(keys.join(shared, "key"), "simhash-buckets")
+    found = persisted(keys.hint("merge").join(shared, "key"), "simhash-buckets")
     few = found.filter(F.col("n") <= bucket).select("key", "fp")
-    pairs = (few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key")
+    pairs = (few.select("key", F.col("fp").alias("a")).hint("merge").join(few.select("key", F.col("fp").alias("b")), "key")
              .filter((F.col("a") < F.col("b")) & (_apart(F.col("a"), F.col("b")) <= distance)).select("a", "b").distinct())
     many = found.filter(F.col("n") > bucket).select("fp").distinct()
     ball = persisted(many.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("k"))
                      .selectExpr("fp", "IF(k = 64, fp, fp ^ shiftleft(1L, k)) AS value"), "simhash-ball")
     least = ball.groupBy("value").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    stars = ball.join(least, "value").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    stars = ball.hint("merge").join(least, "value").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     return pairs.unionByName(stars)
 
 

@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import simhash as S
+from tessera.llm.common import persisted
 from tessera.llm.graph import components
 
 from llm_cases import DOCS, prose
@@ -76,6 +77,22 @@ def test_components_equal_brute_force(spark, bucket):
     assert partition([found.get(x, x) for x in signed]) == partition(brute_components(fps))
 
 
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """A small table of fingerprints is 64 times as many variants, which Spark's estimate does not know."""
+    plans = []
+
+    def planned(df, name, by=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return persisted(df, name, by)
+
+    fps = persisted(spark.range(40).selectExpr("shiftleft(id, 2) AS fp"), "fps")
+    monkeypatch.setattr(S, "persisted", planned)
+    for bucket in (S.BUCKET, 2):
+        plans.append(S.links(fps, bucket=bucket)._jdf.queryExecution().executedPlan().toString())
+    assert sum("Generate" in p and "SortMergeJoin" in p for p in plans) == 2  # the variants
+    assert not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 200), (301, 300), (300, 301)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
