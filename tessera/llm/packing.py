@@ -162,5 +162,6 @@ def pack(docs: DataFrame, *, capacity: int = CAPACITY, bucket: int = BUCKET, **o
              .applyInPandas(solve, "n bigint, sequence_id bigint, offset bigint"))
     keep = ["id", "start", "length", "ids_crc32", "doc_tokens"]
     alone = cut.filter(full).select(*keep, (F.col("n") * 2 + 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    return (rests.join(dealt, "n").select(*keep, "sequence_id", "offset").unionByName(alone)
+    # a row a piece, which takes seven times its file in a broadcast: planned at every size as the shuffle that it is at scale
+    return (rests.join(dealt.hint("merge"), "n").select(*keep, "sequence_id", "offset").unionByName(alone)
             .withColumnRenamed("id", "doc_id"))

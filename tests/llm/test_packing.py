@@ -94,3 +94,7 @@ def test_very_long_white_space():
     for unit in (" ", "\t", "\n", "\r\n", "a "):
         text = "x" + unit * 1_000_000 + "y"
         assert [*encode(text), 1] == reference_ids([text])[0]
+
+
+def test_pieces_are_not_broadcast(spark, odd):
+    assert "BroadcastHashJoin" not in P.pack(odd)._jdf.queryExecution().executedPlan().toString()
